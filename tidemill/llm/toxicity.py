@@ -201,11 +201,8 @@ def train(texts: list[str], labels: list[int]) -> dict:
         rows = dense(marks)
         values, vectors = np.linalg.eigh(rows.astype(float) @ rows.T.astype(float))
         root = vectors / np.sqrt(np.maximum(values, 1e-6))  # kernel values @ root = Nyström features
-        # Witnesses also with one more character, which is then no evidence against them.
-        grown = [t[: len(t) // 2] + c + t[len(t) // 2 :] for t in positive[:WITNESSES] if len(t) > 3 for c in "x*"]
-        terms = positive + grown + hard + calm
-        n_insults = len(positive) + len(grown)
-        w, bias = svm(kernel(terms, rows) @ root, np.array([1.0] * n_insults + [-1.0] * (len(terms) - n_insults)))
+        terms = positive + hard + calm
+        w, bias = svm(kernel(terms, rows) @ root, np.array([1.0] * len(positive) + [-1.0] * (len(terms) - len(positive))))
         weights = ((root @ w) @ rows).astype(np.float32)
         m = margins(vocabulary, weights, bias)
         # Each toxic text's highest terms are witnesses if clean texts hardly have them; clean texts' highest terms are the hardest others.
