@@ -102,40 +102,49 @@ def jsd(p: Column, q: list[float]) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), total(terms, "double") / 2))
 
 
-def word_distance(ref: dict) -> Column:
-    """Distance of the document's words to those of one language: its common words each, and all others together."""
-    words, n = [w for w, _ in ref["words"]], F.size("__w")
-    q = [c / ref["n"] for _, c in ref["words"]]
+def common_hits(ref: dict) -> Column:
+    """How often the document has each common word of one language."""
+    words = [w for w, _ in ref["words"]]
+    lowered = F.filter(F.transform("__w", lambda v: F.lower(v)), lambda v: v.isin(words))
+    return let(lowered, lambda hits: F.transform(F.array(*map(F.lit, words)), lambda w: F.size(F.filter(hits, lambda h: h == w)).cast("long")))
 
-    def distance(hits: Column) -> Column:
-        each = F.transform(F.array(*map(F.lit, words)), lambda w: F.size(F.filter(hits, lambda h: h == w)) / n)
-        return jsd(F.concat(each, F.array((n - F.size(hits)) / n)), [*q, 1 - sum(q)])
 
-    return let(F.filter(F.transform("__w", lambda v: F.lower(v)), lambda v: v.isin(words)), distance)
+def by_language(refs: dict, column: str, of) -> Column:
+    """of(language, its reference) for the document's language; languages without a reference have that of the last."""
+    out = None
+    for g, ref in reversed(refs.items()):
+        out = of(g, ref) if out is None else F.when(F.col(column) == g, of(g, ref)).otherwise(out)
+    return out
 
 
-def judged(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """docs with the base columns, class_distance, word_distance, base_failed and kept."""
+def judged(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None) -> DataFrame:
+    """The carried columns of docs (all, if none are named) with the base columns, class_distance, word_distance, base_failed and kept."""
     refs = references(docs, text, lang)
     x = measured(docs, text, lang)
-    chars = x.select("__g", *[F.col("__classes")[i].alias(c) for i, c in enumerate(CLASSES)])
-    if refs:
-        chars = chars.withColumn("__g", F.when(F.col("__g").isin(list(refs)), F.col("__g")).otherwise(next(reversed(refs))))
-    pooled = {r["__g"]: [r[c] or 0 for c in CLASSES] for r in chars.groupBy("__g").agg(*[F.sum(c).alias(c) for c in CLASSES]).collect()}
+    hits = by_language(refs, "__g", lambda _, ref: common_hits(ref)) if refs else F.array().cast("array<bigint>")
+    carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
+    # Texts are read once for all measures; what follows works on a few numbers for each document.
+    x = written(x.select(*carried, *BASE, "__g", "__classes", hits.alias("__hits")), "quality-measures")
+    g = F.when(F.col("__g").isin(list(refs)), F.col("__g")).otherwise(list(refs)[-1]) if refs else F.col("__g")
+    sums = x.groupBy(g.alias("g")).agg(*[F.sum(F.col("__classes")[i]).alias(c) for i, c in enumerate(CLASSES)]).collect()  # a row a language
+    pooled = {r["g"]: [r[c] or 0 for c in CLASSES] for r in sums}
     shares = lambda xs: [v / max(1, sum(xs)) for v in xs]
     n_chars = total(F.col("__classes"))
-    of_classes = F.transform("__classes", lambda v: v / n_chars)
-    by_class, by_word = F.lit(0.0), F.lit(0.0)
-    for i, (g, ref) in enumerate(reversed(refs.items())):
-        class_d, word_d = jsd(of_classes, shares(pooled[g])), word_distance(ref)
-        by_class = F.when(F.col("__g") == g, class_d).otherwise(by_class) if i else class_d
-        by_word = F.when(F.col("__g") == g, word_d).otherwise(by_word) if i else word_d
-    x = x.withColumn("class_distance", F.when(n_chars < LEAST_CHARS, 0.0).otherwise(by_class)).withColumn("word_distance", F.when(F.col("n_words") < LEAST_WORDS, 0.0).otherwise(by_word))
+
+    def by_word(_: str, ref: dict) -> Column:
+        q = [c / ref["n"] for _, c in ref["words"]]
+        n = F.col("n_words")
+        p = F.concat(F.transform("__hits", lambda h: h / n), F.array((n - total(F.col("__hits"))) / n))
+        return jsd(p, [*q, 1 - sum(q)])
+
+    class_d = by_language(refs, "__g", lambda g, _: jsd(F.transform("__classes", lambda v: v / n_chars), shares(pooled.get(g, [1])))) if refs else F.lit(0.0)
+    word_d = by_language(refs, "__g", by_word) if refs else F.lit(0.0)
+    x = x.withColumn("class_distance", F.when(n_chars < LEAST_CHARS, 0.0).otherwise(class_d)).withColumn("word_distance", F.when(F.col("n_words") < LEAST_WORDS, 0.0).otherwise(word_d))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     x = x.withColumn("base_failed", failed)
-    return x.withColumn("kept", ~F.col("base_failed") & (F.col("class_distance") <= MAX_CLASS_DISTANCE) & (F.col("word_distance") <= MAX_WORD_DISTANCE)).drop("__t", "__w", "__g", "__classes")
+    return x.withColumn("kept", ~F.col("base_failed") & (F.col("class_distance") <= MAX_CLASS_DISTANCE) & (F.col("word_distance") <= MAX_WORD_DISTANCE)).drop("__g", "__classes", "__hits")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = judged(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    x = judged(documents(spark, sf_dir).select("doc_id", "text", "lang"), carry=["doc_id"])
     return x.select("doc_id", *BASE, "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
