@@ -80,6 +80,9 @@ def disclosing(corpus: DataFrame, near: DataFrame) -> DataFrame:
     """(__entity, __term) pairs over the thresholds. corpus has __text, near comes from contexts()."""
     seen = near.select("__entity", "__context", F.explode("__terms.value").alias("__term")).distinct()
     pairs = seen.groupBy("__entity", "__term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= SUPPORT)
+    # A term occurs at least once in each text that has it near an entity; pairs that fail LEAST_GIVEN by that alone need no corpus count.
+    texts = near.select("__row", F.explode("__terms.value").alias("__term")).distinct().groupBy("__term").agg(F.count("*").alias("n_texts"))
+    pairs = pairs.join(texts, "__term").where(F.col("n_pair") >= LEAST_GIVEN * F.col("n_texts")).drop("n_texts")
     pairs = written(pairs, "pii-pairs")
     entities = near.select("__entity", "__context").distinct().groupBy("__entity").agg(F.count("*").alias("n_entity"))
     total = entities.agg(F.sum("n_entity").alias("n_all"))
