@@ -5,7 +5,7 @@ differ in at most (a + b) / 7 <= a / 3 shingles. Sets are cut into blocks by has
 differing shingle changes one block at most, so of a document's d + 1 first blocks, d being its largest allowed difference, at least
 one equals a block among the partner's first ones (pigeonhole, with one order of blocks for all). Blocks are made per size band.
 Shingles that very many documents share stand alone, after all blocks, so they are keys only of documents that have little else;
-which shingles those are changes the work and never the result. Candidates pass if the Hamming distance of 512-bit parity sketches,
+which shingles those are changes the work and never the result. Candidates pass if the Hamming distance of 4096-bit parity sketches,
 a lower bound of the difference, allows it, and are then verified exactly on the texts.
 
 Links are wanted up to connectivity: documents with the same words are one node, each bucket's members are first compared with its
@@ -28,21 +28,16 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.common import bucketed, documents, partitions, text_of, written
 from tidemill.llm.graph import components
-from tidemill.llm.shingles import common, mixed, shingles
+from tidemill.llm.shingles import canonical, common, mixed, shingles
 
 NUMERATOR, DENOMINATOR = 75, 100
-SKETCH = 8  # 64-bit words
+SKETCH = 64  # 64-bit words
 RATIO = 4  # of a size band's ends
 SINGLE = 32  # bands from under this size have one shingle to a block
 OFTEN_HERE = 8  # of a task's documents: what counts as frequent there
 OFTEN = 200_000  # frequent shingles that are told apart, the most frequent ones (1.6 MB)
 
 
-def canonical(text: str) -> bytes:
-    """The words, A-Z lower-cased, one space between them."""
-    return b" ".join(text.encode("utf-8", "surrogatepass").lower().split())
-
-
 def size_band(s: int) -> int:
     band, low = 0, 1
     while s >= low * RATIO:
@@ -88,7 +83,7 @@ def keys(tokens: np.ndarray, often: np.ndarray) -> np.ndarray:
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
-    """512 parity bits: each shingle flips one."""
+    """SKETCH * 64 parity bits: each shingle flips one."""
     bit = (mixed(tokens + np.uint64(77)) % np.uint64(64 * SKETCH)).astype(np.int64)
     odd = (np.bincount(bit, minlength=64 * SKETCH) & 1).astype(np.uint64).reshape(SKETCH, 64)
     return (odd << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).astype(np.int64)
@@ -102,41 +97,38 @@ def _addressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
                 words = canonical(text)
                 digest = hashlib.blake2b(words, digest_size=16).digest()
-                rows.append((doc_id, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), words.decode("utf-8", "surrogatepass")))
+                rows.append((doc_id, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), words))
             yield pd.DataFrame(rows, columns=["doc_id", "k", "k2", "words"])
 
 
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        sets = [shingles(t) for t in b["words"]]
-        out = pd.DataFrame({"k": b["k"], "n": [len(s) for s in sets]})
-        sketches = np.array([sketch(s) for s in sets]).reshape(-1, SKETCH)
-        for i in range(SKETCH):
-            out[f"s{i}"] = sketches[:, i]
-        yield out
-
-
-def _frequent_here(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Shingles of at least OFTEN_HERE documents among this task's, with their number there. Kept in rounds, so memory is bounded."""
+    """For each node its size and sketch; then, as rows without k, the shingles of at least OFTEN_HERE of this task's nodes, with their
+    number there. Counts are merged in rounds, so memory is bounded."""
     values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def merged(values, counts, parts):
-        v, at = np.unique(np.concatenate([values, *parts]), return_inverse=True)
-        return v, np.bincount(at, np.concatenate([counts, np.ones(sum(map(len, parts)), np.int64)]), len(v)).astype(np.int64)
+        new = np.concatenate(parts)
+        v, at = np.unique(np.concatenate([values, new]), return_inverse=True)
+        return v, np.bincount(at, np.concatenate([counts, np.ones(len(new), np.int64)]), len(v)).astype(np.int64)
 
-    parts, size = [], 0
+    parts, size = [values], 0
     for b in batches:
-        for text in b["words"]:
-            parts.append(shingles(text))
-            size += len(parts[-1])
-            if size > 1_500_000:
+        sizes, sketches = [], []
+        for words in b["words"]:
+            s = shingles(words)
+            sizes.append(len(s))
+            sketches.append(sketch(s).tobytes())
+            parts.append(s)
+            size += len(s)
+            if size > 1_000_000:
                 values, counts = merged(values, counts, parts)
-                parts, size = [], 0
-                if len(values) > 3_000_000:
+                parts, size = [values[:0]], 0
+                if len(values) > 2_000_000:
                     values, counts = values[counts > 1], counts[counts > 1]
+        yield pd.DataFrame({"k": b["k"], "n": sizes, "t": 0, "sketch": sketches})
     values, counts = merged(values, counts, parts)
     keep = counts >= OFTEN_HERE
-    yield pd.DataFrame({"t": values[keep].astype(np.int64), "n": counts[keep]})
+    yield pd.DataFrame({"k": pd.array([None] * int(keep.sum()), "Int64"), "n": counts[keep], "t": values[keep].astype(np.int64), "sketch": None})
 
 
 def _keys(often):
@@ -158,6 +150,15 @@ def _keys(often):
     return run
 
 
+def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs that the sketches allow: their Hamming distance isn't over the largest difference of a linked pair."""
+    for b in batches:
+        if len(b):
+            x, y = (np.frombuffer(b"".join(b[c]), np.uint64).reshape(len(b), SKETCH) for c in ("sketcha", "sketchb"))
+            distance = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            yield b.loc[distance * 7 <= (b["na"] + b["nb"]).to_numpy(), ["ka", "kb"]]
+
+
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs that link. Few sets are remembered, pairs with one partner being neighbours."""
     kept: OrderedDict[int, np.ndarray] = OrderedDict()
@@ -181,8 +182,8 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def verified(pairs: DataFrame, nodes: DataFrame, facts: DataFrame) -> DataFrame:
     """Of pairs (ka, kb: distinct), those that link. nodes: k, words, bucketed by k; facts: k, n and the sketch."""
     side = lambda x: facts.select(*[F.col(c).alias(f"{c}{x}") for c in facts.columns])
-    hamming = sum((F.bit_count(F.col(f"s{i}a").bitwiseXOR(F.col(f"s{i}b"))) for i in range(SKETCH)), F.lit(0))
-    near = pairs.join(side("a"), "ka").join(side("b"), "kb").where((hamming * 7 <= F.col("na") + F.col("nb")) & (F.least("na", "nb") * 4 >= F.greatest("na", "nb") * 3))
+    near = pairs.join(side("a"), "ka").join(side("b"), "kb").where(F.least("na", "nb") * 4 >= F.greatest("na", "nb") * 3)
+    near = near.mapInPandas(_near, "ka long, kb long")
     near = written(near.select("ka", "kb"), "jaccard-near")
     full = near.join(nodes.select(F.col("k").alias("ka"), F.col("words").alias("words_a")), "ka").join(nodes.select(F.col("k").alias("kb"), F.col("words").alias("words_b")), "kb")
     return written(full.mapInPandas(_verified, "ka long, kb long"), "jaccard-links")
@@ -192,15 +193,16 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """(doc_id, n_shingles, component_id) for every row of docs."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    addressed = rows.mapInPandas(_addressed, "doc_id long, k long, k2 long, words string")
+    addressed = rows.mapInPandas(_addressed, "doc_id long, k long, k2 long, words binary")
     # Documents of the same words collapse before the shuffle: one row of each task for a group of copies.
     grouped = addressed.groupBy("k").agg(F.min("k2").alias("k2"), F.max("k2").alias("other"), F.min("words").alias("words"))
     nodes = bucketed(grouped, "k", "jaccard", partitions(spark))
     if not nodes.where("k2 != other").isEmpty():
         raise ValueError("two texts share a 64-bit address; another hash is needed")
-    nodes = nodes.select("k", "words").where("words != ''")
-    facts = written(nodes.mapInPandas(_described, "k long, n long, " + ", ".join(f"s{i} long" for i in range(SKETCH))), "jaccard-facts")
-    often = nodes.select("words").mapInPandas(_frequent_here, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    nodes = nodes.select("k", "words").where("octet_length(words) > 0")
+    described = written(nodes.mapInPandas(_described, "k long, n long, t long, sketch binary"), "jaccard-facts")
+    facts = described.where("k is not null").select("k", "n", "sketch")
+    often = described.where("k is null").groupBy("t").agg(F.sum("n").alias("n"))
     top = often.orderBy(F.desc("n"), "t").limit(OFTEN).toPandas()
     values = top["t"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(values)
@@ -219,7 +221,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     more = verified(pairs.select("ka", "kb").distinct(), nodes, facts)
     linked = links.unionAll(more)
     # From words to doc_ids: a node's smallest doc_id, then a component's.
-    everyone = written(addressed.select("doc_id", "k", (F.col("words") == "").alias("blank")), "jaccard-members")
+    everyone = written(addressed.select("doc_id", "k", (F.octet_length("words") == 0).alias("blank")), "jaccard-members")
     members = everyone.where("not blank")
     of_node = members.groupBy("k").agg(F.min("doc_id").alias("id"))
     comps = components(linked.select(F.col("ka").alias("u"), F.col("kb").alias("v"))).withColumnRenamed("node", "k")

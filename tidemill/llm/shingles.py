@@ -1,79 +1,98 @@
-"""Word shingles of whole texts as arrays of 64-bit hashes, computed with numpy over a text's bytes."""
+"""Hashes of words, word shingles and byte strings, computed with numpy over a text's bytes.
+
+A string's hash is a polynomial in an odd base modulo 2 ** 64, with a random 64-bit coefficient for each byte value, so that the hash
+of any substring follows from prefix sums. Strings that collide for every base are over 1,000 bytes long; words that long are
+hashed as a whole instead.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 SHINGLE = 5
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_POWERS = np.ones(1, np.uint64)
-BLOCK = 1 << 20
-
-
-def powers(n: int) -> np.ndarray:
-    """The first n powers of an odd base, modulo 2 ** 64."""
-    global _POWERS
-    if len(_POWERS) < n:
-        p = np.full(max(n, 2 * len(_POWERS)), _BASE, np.uint64)
-        p[0] = 1
-        _POWERS = np.multiply.accumulate(p)
-    return _POWERS[:n]
+LONG_WORD = 500
+_BASE = 0x9E3779B97F4A7C15
+_STATE: dict[str, np.ndarray] = {}
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A hash for each word (A-Z lower-cased), in order. Bytes are mixed with their place in the word, then summed by word."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.uint64)
-    raw = _LOWER[raw]
-    inside = ~_SPACE[raw]
-    edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
-    starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
+def coefficients(which: int) -> np.ndarray:
+    """A random number for each byte value; white space counts 0 in the first table."""
+    name = f"coefficients{which}"
+    if name not in _STATE:
+        table = mixed(np.arange(256, dtype=np.uint64) + np.uint64(1 + (which << 32)))
+        if which == 0:
+            table[0x20] = 0
+        _STATE[name] = table
+    return _STATE[name]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse, modulo 2 ** 64."""
+    if "powers" not in _STATE or len(_STATE["powers"]) < n:
+        size = max(n, 1 << 16)
+        for name, value in (("powers", _BASE), ("inverses", pow(_BASE, -1, 1 << 64))):
+            p = np.full(size, value, np.uint64)
+            p[0] = 1
+            _STATE[name] = np.multiply.accumulate(p)
+    return _STATE["powers"][:n], _STATE["inverses"][:n]
+
+
+def canonical(text: str) -> bytes:
+    """The words, A-Z lower-cased, one space between them."""
+    return b" ".join(text.encode("utf-8", "surrogatepass").lower().split())
+
+
+def word_hashes(words: bytes) -> np.ndarray:
+    """A hash for each word of a canonical text, in order."""
+    if not words:
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    kept = raw[inside]
-    firsts = np.cumsum(lengths) - lengths
-    place = np.arange(len(kept)) - np.repeat(firsts, lengths)
-    value = mixed((kept.astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()) + 1)[place + 1])
-    return mixed(np.add.reduceat(value, firsts) + lengths.astype(np.uint64))
+    raw = np.frombuffer(words, np.uint8)
+    space = np.flatnonzero(raw == 0x20)
+    starts = np.empty(len(space) + 1, np.int64)
+    starts[0] = 0
+    np.add(space, 1, out=starts[1:])
+    p, inverse = powers(len(raw))
+    h = mixed(np.add.reduceat(coefficients(0)[raw] * p, starts) * inverse[starts])
+    lengths = np.diff(starts, append=len(raw) + 1) - 1
+    if lengths.max() > LONG_WORD:
+        for i in np.flatnonzero(lengths > LONG_WORD):
+            h[i] = int.from_bytes(hashlib.blake2b(words[starts[i] : starts[i] + lengths[i]], digest_size=8).digest(), "little")
+    return h
 
 
-def shingles(text: str, n: int = SHINGLE) -> np.ndarray:
-    """The distinct n-word shingles, sorted; a shorter text is one shingle; no words, none."""
-    w = word_hashes(text)
+def shingles(words: bytes, n: int = SHINGLE) -> np.ndarray:
+    """The distinct n-word shingles of a canonical text, sorted; a shorter text is one shingle; no words, none."""
+    w = word_hashes(words)
     if not len(w):
         return w
     m = min(n, len(w))
-    h = np.full(len(w) - m + 1, np.uint64(m))
-    for i in range(m):
-        h = mixed(h * _BASE + w[i : i + len(h)])
-    return np.unique(h)
-
-
-def sequence_key(text: str) -> int:
-    """A hash of the whole sequence of words, as a signed 64-bit integer."""
-    w = word_hashes(text)
-    return int(mixed((w * powers(len(w) + 1)[1:]).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(w)))[0].astype(np.int64)) if len(w) else 0
+    size = len(w) - m + 1
+    h = w[:size] + np.uint64(m)
+    for i in range(1, m):
+        h *= np.uint64(_BASE)
+        h += w[i : i + size]
+    h = mixed(h)
+    h.sort()
+    keep = np.empty(size, bool)
+    keep[0] = True
+    np.not_equal(h[1:], h[:-1], out=keep[1:])
+    return h[keep]
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
     """How many values two sorted arrays of distinct values share."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = len(b) - 1
-    return int((b[at] == a).sum()) if len(b) else 0
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
