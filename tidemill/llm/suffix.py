@@ -27,27 +27,39 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import bucketed, documents, partitions, text_of, written
-from tidemill.llm.shingles import mixed, powers
+from tidemill.llm.shingles import coefficients, mixed, powers
 
 WIDTH = 100
 GRAM = 32
-SHARD_BYTES = 6_000_000
-BLOCK_BYTES = 3_000_000
+SHARD_BYTES = 3_000_000
+BLOCK_BYTES = 1_000_000
 MOST_FRAGMENTS = 30_000  # of one anchor in one shard (4 MB)
 PIECE = (1 << 20) - 256  # bytes of a text whose windows are hashed at a time
 LAST = (1 << 63) - 1
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
-_INVERSE = pow(int(powers(2)[1]), -1, 1 << 64)
+
+
+def prefix_sums(raw: np.ndarray, which: int) -> np.ndarray:
+    """Prefix sums of the polynomial hash with the given table of coefficients."""
+    total = np.empty(len(raw) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(coefficients(which)[raw] * powers(len(raw))[0], out=total[1:])
+    return total
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
     """A hash for each GRAM bytes."""
-    p = powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * p[: len(raw)], out=total[1:])
-    inverse = np.full(len(raw) - GRAM + 1, np.uint64(_INVERSE))
-    inverse[0] = 1
-    return mixed((total[GRAM:] - total[:-GRAM]) * np.multiply.accumulate(inverse))
+    total = prefix_sums(raw, 1)
+    h = total[GRAM:] - total[:-GRAM]
+    h *= powers(len(h))[1]
+    return mixed(h)
+
+
+def fragment_hashes(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of raw[s:e] for each s and e (fragments are under 200 bytes)."""
+    inverse = powers(len(raw) + 1)[1][s]
+    length = (e - s).astype(np.uint64)
+    return tuple(mixed((t[e] - t[s]) * inverse + length).astype(np.int64) for t in (prefix_sums(raw, 2), prefix_sums(raw, 3)))
 
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,22 +200,29 @@ def _anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _fragments(with_bytes: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows, size = [], 0
+            found, parts, size = [], [], 0
             for k, doc, raw, runs in zip(b["k"], b["id"], b["raw"], b["runs"], strict=True):
-                for x in runs:
-                    s, n = x["at"] >> 32, x["at"] & 0xFFFFFFFF
-                    part = raw[s : s + n + WIDTH]
-                    f = hashlib.blake2b(part, digest_size=16).digest()
-                    row = (x["h"], int.from_bytes(f[:8], "little", signed=True), int.from_bytes(f[8:], "little", signed=True), doc, k, s, s + len(part))
-                    rows.append((*row, part) if with_bytes else row)
-                    size += len(part) * with_bytes + 50
-                    if size > 4_000_000:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
-
-    columns = ["h", "f1", "f2", "id", "k", "s", "e"] + ["part"] * with_bytes
+                h = np.fromiter((x["h"] for x in runs), np.int64, len(runs))
+                at = np.fromiter((x["at"] for x in runs), np.int64, len(runs))
+                s = at >> 32
+                e = s + (at & 0xFFFFFFFF) + WIDTH
+                f1, f2 = fragment_hashes(np.frombuffer(raw, np.uint8), s, e)
+                found.append((h, f1, f2, np.full(len(s), doc, np.int64), np.full(len(s), k, np.int64), s, e))
+                size += len(s)
+                if with_bytes:
+                    parts += [raw[x:y] for x, y in zip(s.tolist(), e.tolist(), strict=True)]
+                if size > 20_000:
+                    yield frame(found, parts)
+                    found, parts, size = [], [], 0
+            if found:
+                yield frame(found, parts)
+
+    def frame(found: list, parts: list) -> pd.DataFrame:
+        out = pd.DataFrame(dict(zip(("h", "f1", "f2", "id", "k", "s", "e"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+        if with_bytes:
+            out["part"] = parts
+        return out
+
     return run
 
 
