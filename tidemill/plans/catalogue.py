@@ -1,6 +1,351 @@
-"""The engine's queries over the driver's tables, each with its oracle in DuckDB SQL."""
+"""The engine's queries over the driver's tables, each with its oracle in DuckDB SQL.
+
+The queries call the same operators as the pipeline. The driver's tables are clean, so the rule queries read `defects`, orders with
+deterministic defects of eight kinds, defined by one list of expressions that both engines share.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemill.functions import parsing as P
+from tidemill.operators import aggregates as A
+from tidemill.operators import clean as C
+from tidemill.operators.rules import Rule, check, summary
+from tidemill.sources import generator
+from tidemill.sources.snapshots import SnapshotTable, scratch
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+WATERMARK = "1996-01-01"
+EVENT_WATERMARK = "2024-01-15 00:00:00"
+
+# What a key's remainder makes of each column; the last is the column itself.
+DEFECT_COLUMNS = {
+    "order_id": "cast(o_orderkey as {text})",
+    "customer_id": "case when o_orderkey % 100 = 17 then '-999999' when o_orderkey % 50 = 9 then '' else cast(o_custkey as {text}) end",
+    "channel": "case when o_orderkey % 50 = 7 then '' when o_orderkey % 50 = 8 then '   ' else o_orderpriority end",
+    "status": "case when o_orderkey % 100 = 11 then 'shipped' else o_orderstatus end",
+    "price": "case o_orderkey % 200 when 3 then '-5' when 4 then 'abc' when 5 then '1,234.5' when 6 then '5.5' else cast(cast(o_totalprice as decimal(20,2)) as {text}) end",
+    "day": "case o_orderkey % 200 when 13 then 'not-a-date' when 14 then '2027-13-01' when 15 then '2019-06-30' when 16 then '1996-1-5' else {day} end",
+    "amount": "case when o_orderkey % 500 = 23 then o_totalprice * 1000 else o_totalprice end",
+    "quantity": "case o_orderkey % 7 when 0 then '5.5' when 1 then '' else cast(o_orderkey % 20 + 1 as {text}) end",
+    "place": "o_orderkey",
+}
+
+
+def query(name: str, oracle: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = f
+        if oracle:
+            ORACLES[name] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _defects_sql() -> str:
+    cols = ", ".join(f"{e.format(text='varchar', day="strftime(o_orderdate, '%Y-%m-%d')")} as {c}" for c, e in DEFECT_COLUMNS.items())
+    return f"defects as (select {cols}, 0 as copy from orders union all select {cols}, 1 as copy from orders where o_orderkey % 100 = 19)"
+
+
+def defects(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+    cols = [f"{e.format(text='string', day="date_format(o_orderdate, 'yyyy-MM-dd')")} as {c}" for c, e in DEFECT_COLUMNS.items()]
+    return orders.selectExpr(*cols, "0 as copy").unionAll(orders.where("o_orderkey % 100 = 19").selectExpr(*cols, "1 as copy"))
+
+
+# The same rules in SQL: what fails.
+BLANK = "({c} is null or trim({c}) = '')"
+NUM = "try_cast(replace(case when lower(trim({c})) in ('', 'null', 'none', 'nan') then null else trim({c}) end, ',', '') as double)"
+RULES = {
+    "dq_completeness": (Rule("completeness", "channel"), BLANK.format(c="channel")),
+    "dq_uniqueness": (Rule("uniqueness", "order_id"), "(row_number() over (partition by order_id order by place, copy) > 1)"),
+    "dq_range": (Rule("range", "price", low=0.01, high=100000.0), f"coalesce(not ({NUM.format(c='price')} between 0.01 and 100000), true)"),
+    "dq_allowed": (Rule("allowed_values", "status", values=("O", "F", "P")), f"(not {BLANK.format(c='status')} and status not in ('O', 'F', 'P'))"),
+    "dq_format": (Rule("format", "channel", pattern=r"[1-3]-[A-Z]+"), f"(not {BLANK.format(c='channel')} and not regexp_matches(channel, '^(?:[1-3]-[A-Z]+)'))"),
+    "dq_date_valid": (Rule("date_valid", "day", low="1992-01-01", high="1997-12-31"), "coalesce(not (coalesce(try_strptime(trim(day), '%Y-%m-%d'), try_strptime(trim(day), '%Y-%m-%dT%H:%M:%S'), try_strptime(trim(day), '%Y-%m-%d %H:%M:%S')) between timestamp '1992-01-01' and timestamp '1997-12-31'), true)"),
+    "dq_referential": (Rule("referential", "customer_id", reference=("customers", "customer_id")), f"(not {BLANK.format(c='customer_id')} and customer_id not in (select cast(c_custkey as varchar) from customer))"),
+}
+OUTLIER = {"dq_outlier_iqr": Rule("outlier", "amount", factor=1.5), "dq_outlier_zscore": Rule("outlier", "amount", method="zscore", factor=3.0)}
+
+
+def checked(spark: SparkSession, sf: str, rules: list[Rule]):
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"))
+    return check(defects(spark, sf), rules, {"customers": customers}, order=["place", "copy"])
+
+
+def _stat_sql(kind: str, column: str, n: str, failed: str) -> str:
+    return f"select '{kind}' as rule, '{column}' as column_name, {n} as checked, {n} - {failed} as passed, {failed} as failed, case when {n} = 0 then 1.0 else floor(({n} - {failed}) / {n} * 10000 + 0.5) / 10000 end as pass_rate"
+
+
+for _name, (_rule, _fails) in RULES.items():
+    query(_name, f"with {_defects_sql()}, m as (select {_fails} as f from defects), s as (select count(*) as n, count(*) filter (f) as k from m) {_stat_sql(_rule.kind, _rule.column, 'n', 'k')} from s")(
+        lambda spark, sf, r=_rule: checked(spark, sf, [r]).stats
+    )
+for _name, _rule in OUTLIER.items():
+    _bounds = "select quantile_cont(amount, 0.25) - 1.5 * (quantile_cont(amount, 0.75) - quantile_cont(amount, 0.25)) as lo, quantile_cont(amount, 0.75) + 1.5 * (quantile_cont(amount, 0.75) - quantile_cont(amount, 0.25)) as hi from defects"
+    if _rule.method == "zscore":
+        _bounds = "select avg(amount) - 3 * stddev_pop(amount) as lo, avg(amount) + 3 * stddev_pop(amount) as hi from defects"
+    query(_name, f"with {_defects_sql()}, b as ({_bounds}), s as (select count(amount) as n, count(*) filter (amount < lo or amount > hi) as k from defects, b) {_stat_sql('outlier', 'amount', 'n', 'k')} from s")(
+        lambda spark, sf, r=_rule: checked(spark, sf, [r]).stats
+    )
+
+_ALL = [r for r, _ in RULES.values()]
+_FAILS = {r.reason: f for r, f in RULES.values()}
+_MARKED = f"{_defects_sql()}, m as (select *, {', '.join(f'{f} as f{i}' for i, f in enumerate(_FAILS.values()))} from defects)"
+_ANY = " or ".join(f"f{i}" for i in range(len(_FAILS)))
+_REASON_ORDER = sorted(range(len(_ALL)), key=lambda i: ("completeness", "uniqueness", "range", "allowed_values", "format", "date_valid", "referential").index(_ALL[i].kind))
+_REASONS = "concat_ws(';', " + ", ".join(f"case when f{i} then '{_ALL[i].reason}' end" for i in _REASON_ORDER) + ")"
+
+
+@query("dq_bad_rows", f"with {_MARKED} select order_id, customer_id, channel, status, price, day, place * 2 + copy + 2 as line, {_REASONS} as reasons from m where {_ANY}")
+def dq_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
+    x = checked(spark, sf, _ALL)
+    x.line = F.col("place") * 2 + F.col("copy") + 2
+    return x.bad.select("order_id", "customer_id", "channel", "status", "price", "day", F.col("_line").alias("line"), F.col("_reasons").alias("reasons"))
+
+
+@query("dq_good_rows", f"with {_MARKED} select order_id, customer_id, channel, status, price, day from m where not ({_ANY})")
+def dq_good_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return checked(spark, sf, _ALL).good.select("order_id", "customer_id", "channel", "status", "price", "day")
+
+
+@query(
+    "dq_summary",
+    f"with {_MARKED}, s as (select {len(_FAILS)} as r, count(*) * {len(_FAILS)} as n, cast(sum({' + '.join(f'f{i}::int' for i in range(len(_FAILS)))}) as bigint) as k from m) "
+    "select case when n = 0 then 1.0 else floor((n - k) / n * 10000 + 0.5) / 10000 end as dq_score, cast(r as bigint) as rules_total, n as checks_total, n - k as checks_passed, k as checks_failed from s",
+)
+def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return summary([checked(spark, sf, _ALL).stats])
+
+
+# Sales facts: one for each order, and one for each line.
+_SALES = "sales as (select cast(o_orderdate as date) as order_date, o_custkey as customer_id, o_orderpriority as channel, cast(1 as bigint) as units, o_totalprice as amount from orders)"
+_DAILY = "select order_date, count(*) as orders, cast(sum(units) as bigint) as units, cast(sum(cast(amount as decimal(20,2))) as double) as revenue, cast((2 * cast(sum(cast(amount as decimal(20,2))) * 100 as bigint) + count(*)) // (2 * count(*)) as double) / 100 as avg_order_value from sales"
+_LINES = "lines as (select l_partkey as product_id, cast(l_quantity as bigint) as units, floor(l_quantity * l_extendedprice * (1 - l_discount) * 100 + 0.5) / 100 as amount from lineitem)"
+_DIM = "dim as (select c_custkey as customer_id, max(c_mktsegment) as tier, max(cast(c_nationkey as varchar)) as city from customer group by 1)"
+_VALUE = "v as (select customer_id, count(*) as orders, sum(cast(amount as decimal(20,2))) as r from sales group by 1)"
+
+
+def sales(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select(
+        F.to_date("o_orderdate").alias("order_date"), F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("channel"),
+        F.lit(1).cast("bigint").alias("units"), F.col("o_totalprice").alias("amount"),
+    )
+
+
+def customers(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("tier"), F.col("c_nationkey").cast("string").alias("city"))
+
+
+@query("daily_sales", f"with {_SALES} {_DAILY} group by 1 order by 1")
+def daily_sales(spark: SparkSession, sf: str) -> DataFrame:
+    return A.daily_sales(sales(spark, sf)).orderBy("order_date")
+
+
+@query(
+    "category_stats",
+    f"with {_LINES}, d as (select p_partkey as product_id, max(p_brand) as category from part group by 1), x as (select coalesce(nullif(trim(category), ''), '未知') as category, count(*) as orders, cast(sum(units) as bigint) as units, sum(cast(amount as decimal(20,2))) as r from lines left join d using (product_id) group by 1) "
+    "select category, orders, units, cast(r as double) as revenue, floor(cast(r as double) / cast(sum(r) over () as double) * 10000 + 0.5) / 10000 as revenue_share from x order by revenue desc, category",
+)
+def category_stats(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("bigint").alias("units"), P.round_product(F.col("l_quantity") * F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount"))
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("category"))
+    return A.category_stats(lines, parts).orderBy(F.desc("revenue"), "category")
+
+
+@query(
+    "region_channel_stats",
+    "select r_name as region, o_orderpriority as channel, count(*) as orders, cast(sum(cast(o_totalprice as decimal(20,2))) as double) as revenue from orders left join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey group by 1, 2 order by 1, 2",
+)
+def region_channel_stats(spark: SparkSession, sf: str) -> DataFrame:
+    where = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    x = sales(spark, sf).join(where.select(F.col("c_custkey").alias("customer_id"), F.col("r_name").alias("region")), "customer_id", "left")
+    return A.region_channel_stats(x).orderBy("region", "channel")
+
+
+_RANKED = "select customer_id, coalesce(tier, '') as tier, coalesce(city, '') as city, orders, cast(r as double) as revenue, row_number() over (order by r desc, customer_id) as rank from v left join dim using (customer_id)"
+
+
+@query("customer_value_top", f"with {_SALES}, {_VALUE}, {_DIM}, x as ({_RANKED}) select * from x where rank <= 20 order by rank")
+def customer_value_top(spark: SparkSession, sf: str) -> DataFrame:
+    return A.customer_value(sales(spark, sf), customers(spark, sf)).orderBy("rank")
+
+
+@query("customer_value_merged", f"with {_SALES}, {_VALUE}, {_DIM} {_RANKED}")
+def customer_value_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """All customers: history up to the watermark merged with the delta after it, ranks counted anew."""
+    old, new = _split(spark, sf)
+    half = lambda s: A.customer_value(s, customers(spark, sf), None)
+    return A.merge(half(old), half(new), A.SPECS[3])
+
+
+_TIER = "select coalesce(nullif(trim(tier), ''), 'unknown') as tier, count(*) as customers, cast(sum(r) as double) as revenue from v left join dim using (customer_id) group by 1"
+
+
+@query("customer_tier", f"with {_SALES}, {_VALUE}, {_DIM} {_TIER} order by 1")
+def customer_tier(spark: SparkSession, sf: str) -> DataFrame:
+    return A.customer_tier(sales(spark, sf), customers(spark, sf)).orderBy("tier")
+
+
+_KPI = "select cast(coalesce(sum(orders), 0) as bigint) as orders, cast(coalesce(sum(units), 0) as bigint) as units, cast(coalesce(sum(cast(revenue as decimal(20,2))), 0) as double) as total_revenue, case when coalesce(sum(orders), 0) = 0 then 0.0 else cast((2 * cast(sum(cast(revenue as decimal(20,2))) * 100 as bigint) + cast(sum(orders) as bigint)) // (2 * cast(sum(orders) as bigint)) as double) / 100 end as avg_order_value, count(*) as days, 'CNY' as currency from d"
+
+
+@query("kpi", f"with {_SALES}, d as ({_DAILY} group by 1) {_KPI}")
+def kpi(spark: SparkSession, sf: str) -> DataFrame:
+    return A.kpi(A.daily_sales(sales(spark, sf)))
+
+
+@query("kpi_empty", f"with {_SALES}, d as ({_DAILY} where amount < -1 group by 1) {_KPI}")
+def kpi_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """No orders: a row of zeros."""
+    return A.kpi(A.daily_sales(sales(spark, sf).where("amount < -1")))
+
+
+_LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query("clean_dedup", f"select * exclude (n) from (select *, row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(_LINE_ORDER)}) as n from lineitem) where n = 1")
+def clean_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return C.keep_first(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], _LINE_ORDER)
+
+
+@query("clean_fill", f"with {_defects_sql()} select order_id, copy, case when {BLANK.format(c='channel')} then 'unknown' else channel end as channel, nullif(trim(customer_id), '') as customer_id from defects")
+def clean_fill(spark: SparkSession, sf: str) -> DataFrame:
+    x = C.fill_missing(defects(spark, sf), {"channel": "unknown"})
+    return x.select("order_id", "copy", "channel", F.trim(P.blank_to_null(F.col("customer_id"))).alias("customer_id"))
+
+
+_Q, _PR = NUM.format(c="quantity"), NUM.format(c="price")
+_STRICT = f"(case when {_Q} = floor({_Q}) then cast({_Q} as bigint) end)"
+
+
+@query("clean_amount", f"with {_defects_sql()} select order_id, copy, floor(coalesce(cast({_STRICT} as double), 0) * coalesce({_PR}, 0) * (1 - 0.1) * 100 + 0.5) / 100 as total_amount, floor(cast({_STRICT} as double) * {_PR} * 100 + 0.5) / 100 as raw_amount from defects")
+def clean_amount(spark: SparkSession, sf: str) -> DataFrame:
+    q, p = F.col("quantity"), F.col("price")
+    return defects(spark, sf).select("order_id", "copy", C.total_amount(q, p, F.lit("0.1")).alias("total_amount"), C.amount_or_null(q, p).alias("raw_amount"))
+
+
+_IQR = "b as (select quantile_cont(amount, 0.25) as q1, quantile_cont(amount, 0.75) as q3 from defects)"
+
+
+@query("clean_flag", f"with {_defects_sql()}, {_IQR}, o as (select distinct order_id from defects, b where amount < q1 - 1.5 * (q3 - q1) or amount > q3 + 1.5 * (q3 - q1)) select order_id, copy, case when order_id in (select order_id from o) then '1' else '0' end as is_anomaly from defects")
+def clean_flag(spark: SparkSession, sf: str) -> DataFrame:
+    x = checked(spark, sf, [OUTLIER["dq_outlier_iqr"]])
+    ids = x.flagged.where("is_anomaly = '1'").select("order_id")
+    return C.flag(defects(spark, sf), ids, "order_id").select("order_id", "copy", "is_anomaly")
+
+
+@query("final_output", "select *, 'B-1' as _batch_id, 'orders.parquet' as _source_file from orders")
+def final_output(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").withColumns({"_batch_id": F.lit("B-1"), "_source_file": F.lit("orders.parquet")})
+
+
+@query("iso_dates", "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as ts from orders")
+def iso_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select("o_orderkey", P.iso(F.col("o_orderdate"), "date").alias("day"), P.iso(F.col("o_orderdate"), "timestamp").alias("ts"))
+
+
+# Incremental processing.
+def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    x = sales(spark, sf)
+    return x.where(F.col("order_date") <= WATERMARK), x.where(F.col("order_date") > WATERMARK)
+
+
+@query("max_watermark", "select max(ts) as watermark from events")
+def max_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").agg(F.max("ts").alias("watermark"))
+
+
+@query("delta_filter", f"select event_id, ts, user_id, event_type, value from events where ts > timestamp '{EVENT_WATERMARK}'")
+def delta_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").where(F.col("ts") > F.lit(EVENT_WATERMARK).cast("timestamp_ntz")).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("merge_aggregate", f"with {_SALES} {_DAILY} group by 1")
+def merge_aggregate(spark: SparkSession, sf: str) -> DataFrame:
+    """History and delta merged equal the whole."""
+    old, new = _split(spark, sf)
+    return A.merge(A.daily_sales(old), A.daily_sales(new), A.SPECS[0])
+
+
+@query(
+    "incremental_tier_new",
+    f"with {_SALES}, {_DIM}, h as (select distinct customer_id from sales where order_date <= date '{WATERMARK}'), v as (select customer_id, sum(cast(amount as decimal(20,2))) as r from sales where order_date > date '{WATERMARK}' group by 1) "
+    "select coalesce(nullif(trim(tier), ''), 'unknown') as tier, cast(sum(case when h.customer_id is null then 1 else 0 end) as bigint) as customers, cast(sum(r) as double) as revenue from v left join h on v.customer_id = h.customer_id left join dim on v.customer_id = dim.customer_id group by 1",
+)
+def incremental_tier_new(spark: SparkSession, sf: str) -> DataFrame:
+    old, new = _split(spark, sf)
+    history = A.customer_value(old, customers(spark, sf), None).select("customer_id", "tier")
+    return A.incremental_tier(new, history, customers(spark, sf))
+
+
+def _log(spark: SparkSession, sf: str) -> SnapshotTable:
+    """Orders in two appends, up to the watermark and after."""
+    log = SnapshotTable(spark, scratch(spark, "orders"))
+    orders = table(spark, sf, "orders")
+    log.append(orders.where(F.col("o_orderdate") <= F.lit(WATERMARK).cast("timestamp_ntz")))
+    log.append(orders.where(F.col("o_orderdate") > F.lit(WATERMARK).cast("timestamp_ntz")))
+    return log
+
+
+@query("snapshot_diff", f"select * from orders where o_orderdate > timestamp '{WATERMARK}'")
+def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
+    log = _log(spark, sf)
+    return log.diff(log.snapshots()[0]["snapshot_id"])
+
+
+@query("time_travel", f"select * from orders where o_orderdate <= timestamp '{WATERMARK}'")
+def time_travel(spark: SparkSession, sf: str) -> DataFrame:
+    log = _log(spark, sf)
+    return log.read(log.snapshots()[0]["snapshot_id"])
+
+
+@query("snapshot_read", "select * from orders")
+def snapshot_read(spark: SparkSession, sf: str) -> DataFrame:
+    return _log(spark, sf).read()
+
+
+@query("snapshot_list", f"select 1 as number, 'append' as operation, cast(null as bigint) as parent, count(*) filter (o_orderdate <= timestamp '{WATERMARK}') as rows from orders union all select 2, 'append', 1, count(*) filter (o_orderdate > timestamp '{WATERMARK}') from orders")
+def snapshot_list(spark: SparkSession, sf: str) -> DataFrame:
+    log = _log(spark, sf)
+    rows = [(s["sequence"], s["operation"], s["parent_sequence"], s["summary"]["added_rows"]) for s in log.snapshots()]
+    return spark.createDataFrame(rows, "number int, operation string, parent bigint, rows bigint")
+
+
+# Operations over batches' metrics, which a range stands for.
+_BATCHES = "select id as batch, case when id % 7 = 3 then 'failed' else 'success' end as status, (900 + id * 37 % 100) / 1000.0 as dq_score, cast(id * 13 % 400 as double) as seconds from range(60)"
+_BATCHES_DUCK = _BATCHES.replace("select id", "select range").replace("when id", "when range").replace(" id ", " range ").replace("(id ", "(range ").replace("+ id", "+ range")
+
+
+def batches(spark: SparkSession) -> DataFrame:
+    return spark.sql(_BATCHES).withColumn("dq_score", F.col("dq_score").cast("double"))
+
+
+@query("batch_stats", f"with b as ({_BATCHES_DUCK}) select count(*) as total, count(*) filter (status = 'success') as success, count(*) filter (status = 'failed') as failed, min(cast(dq_score as double) * 100) as min_dq, max(cast(dq_score as double) * 100) as max_dq from b")
+def batch_stats(spark: SparkSession, sf: str) -> DataFrame:
+    score = P.percent(F.col("dq_score"))
+    n = lambda s: F.sum(F.when(F.col("status") == s, 1).otherwise(0)).cast("bigint")
+    return batches(spark).agg(F.count("*").alias("total"), n("success").alias("success"), n("failed").alias("failed"), F.min(score).alias("min_dq"), F.max(score).alias("max_dq"))
+
+
+@query("alerts", f"with b as ({_BATCHES_DUCK}) select batch, concat_ws(';', case when cast(dq_score as double) < 0.95 then 'dq_score' end, case when seconds > 300 then 'duration' end, case when status = 'failed' then 'status' end) as alert from b where cast(dq_score as double) < 0.95 or seconds > 300 or status = 'failed'")
+def alerts(spark: SparkSession, sf: str) -> DataFrame:
+    low, slow, failed = F.col("dq_score") < 0.95, F.col("seconds") > 300, F.col("status") == "failed"
+    x = batches(spark).where(low | slow | failed)
+    return x.select("batch", F.concat_ws(";", F.when(low, "dq_score"), F.when(slow, "duration"), F.when(failed, "status")).alias("alert"))
+
+
+@query("synthetic_orders")
+def synthetic_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The generator's orders at its default size, seeded; its tests check the defect rates."""
+    return generator.orders(spark)
