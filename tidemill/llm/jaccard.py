@@ -33,9 +33,12 @@ from tidemill.llm.shingles import canonical, common, mixed, shingles
 NUMERATOR, DENOMINATOR = 75, 100
 SKETCH = 64  # 64-bit words
 RATIO = 4  # of a size band's ends
-SINGLE = 32  # bands from under this size have one shingle to a block
-OFTEN_HERE = 8  # of a task's documents: what counts as frequent there
-OFTEN = 200_000  # frequent shingles that are told apart, the most frequent ones (1.6 MB)
+SINGLE = 512  # bands from under this size have one shingle to a block
+PLAIN, FEW, MANY = 0, 1, 2  # keys of shingles that aren't frequent; of frequent ones, in sets with few or many others
+OFTEN_HERE = 3  # of a task's documents: what counts as frequent there
+OFTEN = 400_000  # frequent shingles that are told apart, the most frequent ones (6.4 MB with their ranks)
+BLOCK = 800  # members that meet as many others in one task
+ROUNDS = 2  # of comparing each bucket with one of its members
 
 
 def size_band(s: int) -> int:
@@ -55,14 +58,18 @@ def bands(s: int) -> list[tuple[int, int]]:
     return out
 
 
-def keys(tokens: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """The bucket keys of a set (sorted hashes). often: frequent shingles, the rarer first by rank in often[1], sorted in often[0]."""
+def keys(tokens: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket keys of a set (sorted hashes) and their kinds. often: frequent shingles, sorted, and their ranks, the rarer first.
+
+    Two sets that share no plain key, each having more plain shingles than a seventh of its size, differ in more than (a + b) / 7: so
+    of two MANY keys nothing follows, and only pairs with a FEW or PLAIN one are candidates.
+    """
     values, rank = often
     at = np.minimum(np.searchsorted(values, tokens), max(0, len(values) - 1))
     hot = values[at] == tokens if len(values) else np.zeros(len(tokens), bool)
     cold = tokens[~hot]
     late = tokens[hot][np.argsort(rank[at[hot]], kind="stable")] if len(values) else tokens[:0]
-    out = []
+    out, kinds = [], []
     for band, allowed in bands(len(tokens)):
         low = np.uint64(RATIO**band)
         salt = mixed(np.array([band + 1], np.uint64))[0]
@@ -74,12 +81,15 @@ def keys(tokens: np.ndarray, often: np.ndarray) -> np.ndarray:
         first = np.flatnonzero(np.diff(block, prepend=block[:1] + np.uint64(1)))
         parity = np.bitwise_xor.reduceat(value, first) if len(first) else value
         items = mixed(mixed(block[first] + salt) + parity)[: allowed + 1]
+        kind = np.zeros(len(items), np.int8)
         if len(items) <= allowed:
+            kind = np.concatenate([kind, np.full(allowed + 1 - len(items), MANY if low < SINGLE and len(cold) * 7 > len(tokens) else FEW, np.int8)])
             items = np.concatenate([items, mixed(late[: allowed + 1 - len(items)] ^ mixed(np.array([~salt]))[0])])
         if len(items) <= allowed:
             raise ValueError("too few blocks for the pigeonhole; another hash is needed")
         out.append(items)
-    return np.concatenate(out)
+        kinds.append(kind)
+    return np.concatenate(out), np.concatenate(kinds)
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
@@ -134,18 +144,18 @@ def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _keys(often):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found, of, size = [], [], 0
+            found, size = [], 0
             for k, text in zip(b["k"], b["words"], strict=True):
-                s = shingles(text)
-                if len(s):
-                    found.append(keys(s, often.value).astype(np.int64))
-                    of.append(np.full(len(found[-1]), k, np.int64))
-                    size += len(found[-1])
+                tokens = shingles(text)
+                if len(tokens):
+                    items, kinds = keys(tokens, often.value)
+                    found.append((items.astype(np.int64), np.full(len(items), k, np.int64), kinds))
+                    size += len(items)
                 if size > 200_000:
-                    yield pd.DataFrame({"b": np.concatenate(found), "k": np.concatenate(of)})
-                    found, of, size = [], [], 0
+                    yield pd.DataFrame(dict(zip("bkt", map(np.concatenate, zip(*found, strict=True)), strict=True)))
+                    found, size = [], 0
             if found:
-                yield pd.DataFrame({"b": np.concatenate(found), "k": np.concatenate(of)})
+                yield pd.DataFrame(dict(zip("bkt", map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
     return run
 
@@ -189,6 +199,45 @@ def verified(pairs: DataFrame, nodes: DataFrame, facts: DataFrame) -> DataFrame:
     return written(full.mapInPandas(_verified, "ka long, kb long"), "jaccard-links")
 
 
+def _apart(rest: DataFrame, comps: DataFrame) -> DataFrame:
+    """rest (b, k, t, weight: members that haven't met all others), with components, of the buckets that still hold several."""
+    x = rest.join(comps, "k", "left").select("b", "k", "t", "weight", F.coalesce("component", "k").alias("c"))
+    split = x.groupBy("b").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("t").alias("one")).where(f"c1 != c2 and one < {MANY}").select("b")
+    return written(x.join(split, "b"), "jaccard-apart")
+
+
+def _block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one cell of the grid, the pairs of its two blocks (or within its one) that the sketches allow."""
+    pdf = pdf.sort_values("k")
+    first, second = pdf[pdf["chunk"] == pdf["x"]], pdf[pdf["chunk"] == pdf["y"]]
+    sketches = [np.frombuffer(b"".join(p["sketch"]), np.uint64).reshape(len(p), SKETCH) for p in (first, second)]
+    n = [p["n"].to_numpy(np.int64) for p in (first, second)]
+    k = [p["k"].to_numpy(np.int64) for p in (first, second)]
+    c = [p["c"].to_numpy(np.int64) for p in (first, second)]
+    few = [p["t"].to_numpy() < MANY for p in (first, second)]
+    out = []
+    for i in range(len(first)):
+        at = np.flatnonzero((c[1] != c[0][i]) & (k[1] != k[0][i]) & (few[1] | few[0][i]) & (4 * np.minimum(n[1], n[0][i]) >= 3 * np.maximum(n[1], n[0][i])))
+        if len(at):
+            distance = np.bitwise_count(sketches[1][at] ^ sketches[0][i]).sum(1, dtype=np.int64)
+            out += [(min(k[0][i], x), max(k[0][i], x)) for x in k[1][at[distance * 7 <= n[1][at] + n[0][i]]]]
+    return pd.DataFrame(out, columns=["ka", "kb"]).astype("int64").drop_duplicates()
+
+
+def _grid(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pairs (ka, kb) of members (b, k, t, c) that buckets connect, as far as sketches allow them. A group of connected members is cut into
+    blocks of about BLOCK, and each two blocks meet in a task of their own: no pair is a row unless it may link."""
+    sides = members.select(F.xxhash64("b", F.lit("bucket")).alias("u"), F.xxhash64("k", F.lit("member")).alias("v"))
+    group = components(sides).withColumnRenamed("node", "__m")
+    x = members.groupBy("k", "c").agg(F.min("t").alias("t")).withColumn("__m", F.xxhash64("k", F.lit("member"))).join(group, "__m").drop("__m")
+    x = written(x, "jaccard-groups")
+    sizes = x.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+    x = x.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("k"), F.col("chunks")).cast("int")).join(facts, "k")
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    x = x.select("component", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "k", "c", "t", "n", "sketch")
+    return x.groupBy("component", "x", "y").applyInPandas(_block, "ka long, kb long")
+
+
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs."""
     spark = docs.sparkSession
@@ -207,18 +256,31 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     values = top["t"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(values)
     shared = spark.sparkContext.broadcast((values[order], (len(values) - order).astype(np.int64)))
-    buckets = nodes.mapInPandas(_keys(shared), "b long, k long")
-    least = F.min("k").over(Window.partitionBy("b"))
-    most = F.max("k").over(Window.partitionBy("b"))
-    many = written(buckets.withColumns({"least": least, "most": most}).where("least != most").select("b", "k", "least"), "jaccard-buckets")
-    links = verified(many.where("k != least").select(F.col("least").alias("ka"), F.col("k").alias("kb")).distinct(), nodes, facts)
-    first = components(links.select(F.col("ka").alias("u"), F.col("kb").alias("v")))
-    # Members of one bucket that are still apart, and weren't compared with its smallest, meet each other.
-    apart = many.join(first.withColumnRenamed("node", "k"), "k", "left").select("b", "k", "least", F.coalesce("component", "k").alias("c"))
-    split = apart.groupBy("b").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 != c2").select("b")
-    apart = written(apart.join(split, "b").where("k != least").select("b", "k", "c"), "jaccard-apart")
-    pairs = apart.select("b", F.col("k").alias("ka"), F.col("c").alias("ca")).join(apart.select("b", F.col("k").alias("kb"), F.col("c").alias("cb")), "b").where("ka < kb and ca != cb")
-    more = verified(pairs.select("ka", "kb").distinct(), nodes, facts)
+    buckets = nodes.mapInPandas(_keys(shared), "b long, k long, t byte")
+    whole = Window.partitionBy("b")
+    many = buckets.withColumns({"least": F.min("k").over(whole), "most": F.max("k").over(whole), "n": F.count("*").over(whole), "one": F.min("t").over(whole)})
+    many = written(many.where(f"least != most and one < {MANY}").select("b", "k", "n", "t"), "jaccard-buckets")
+    # The member that shares most buckets is compared with all others first: the text that others are copies of has no edits of its own.
+    central = many.groupBy("k").agg(F.sum("n").alias("weight"))
+    many = written(many.join(central, "k").select("b", "k", "t", "weight"), "jaccard-members")
+    links = tried = None
+    for _ in range(ROUNDS):
+        leader = many.groupBy("b").agg(F.max(F.struct(-F.col("t"), "weight", "k"))["k"].alias("leader"))
+        pairs = many.join(leader, "b").where("k != leader").select(F.least("leader", "k").alias("ka"), F.greatest("leader", "k").alias("kb")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["ka", "kb"], "left_anti")
+        pairs = written(pairs, "jaccard-pairs")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        new = verified(pairs, nodes, facts)
+        links = new if links is None else links.unionAll(new)
+        comps = components(links.select(F.col("ka").alias("u"), F.col("kb").alias("v"))).withColumnRenamed("node", "k")
+        many = _apart(many.join(leader, "b").where("k != leader").select("b", "k", "t", "weight"), comps)
+    # Members of one bucket that are still in different components, and weren't compared yet, meet each other: those of plain buckets
+    # (which are small, their shingles not being frequent) by a join, those of frequent ones in a grid of blocks.
+    side = lambda x: many.where(f"t = {PLAIN}").select("b", F.col("k").alias(f"k{x}"), F.col("c").alias(f"c{x}"))
+    pairs = side("a").join(side("b"), "b").where("ka < kb and ca != cb").select("ka", "kb").distinct()
+    pairs = pairs.unionAll(_grid(many.where(f"t != {PLAIN}"), facts)).distinct().join(tried, ["ka", "kb"], "left_anti")
+    more = verified(pairs, nodes, facts)
     linked = links.unionAll(more)
     # From words to doc_ids: a node's smallest doc_id, then a component's.
     everyone = written(addressed.select("doc_id", "k", (F.octet_length("words") == 0).alias("blank")), "jaccard-members")
