@@ -22,7 +22,6 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,24 +109,35 @@ def features(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-12)
 
 
-def dense(terms: list[str]) -> np.ndarray:
-    out = np.zeros((len(terms), ALPHABET**3), dtype=np.float32)
-    for at, c in by_length(terms):
-        s, v = features(c)
-        for row, ss, vv in zip(at, s, v, strict=True):
-            np.add.at(out[row], ss, vv)
-    return out
-
-
-def kernel(terms: list[str], marks: np.ndarray) -> np.ndarray:
-    """Kernel values of terms against landmarks given as dense rows."""
-    out = np.zeros((len(terms), marks.shape[0]))
-    t = np.ascontiguousarray(marks.T)
-    for at, c in by_length(terms):
-        s, v = features(c)
-        for lo in range(0, len(at), 64):
-            out[at[lo : lo + 64]] = np.einsum("rs,rsl->rl", v[lo : lo + 64], t[s[lo : lo + 64]])
-    return out
+class Space:
+    """The subsequences that landmarks have, numbered from 1, and the landmarks as rows over them. All others add nothing to a kernel value."""
+
+    def __init__(self, marks: list[str]):
+        found = [(at, *features(c)) for at, c in by_length(marks)]
+        self.subs = np.unique(np.concatenate([s.ravel() for _, s, _ in found]))
+        self.number = np.zeros(ALPHABET**3, np.int32)
+        self.number[self.subs] = np.arange(1, len(self.subs) + 1)
+        self.rows = np.zeros((len(marks), len(self.subs) + 1), np.float32)
+        for at, s, v in found:
+            for row, ss, vv in zip(at, s, v, strict=True):
+                np.add.at(self.rows[row], self.number[ss], vv)
+        self.columns = np.ascontiguousarray(self.rows.T)
+
+    def kernel(self, terms: list[str]) -> np.ndarray:
+        """Kernel values of terms against the landmarks."""
+        out = np.zeros((len(terms), len(self.rows)), np.float32)
+        for at, c in by_length(terms):
+            s, v = features(c)
+            v = v.astype(np.float32)
+            for lo in range(0, len(at), 32):
+                out[at[lo : lo + 32]] = np.einsum("rs,rsl->rl", v[lo : lo + 32], self.columns[self.number[s[lo : lo + 32]]])
+        return out
+
+    def weights(self, of_marks: np.ndarray) -> np.ndarray:
+        """One weight for each possible subsequence, from one for each landmark."""
+        out = np.zeros(ALPHABET**3, np.float32)
+        out[self.subs] = (of_marks @ self.rows)[1:]
+        return out
 
 
 def margins(terms: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
@@ -173,44 +183,42 @@ def summary(values: np.ndarray) -> list[float]:
 def train(texts: list[str], labels: list[int]) -> dict:
     """A model: weights of subsequences, bias, and the logistic that turns a text's summary into a score."""
     y = np.array(labels, dtype=float)
-    bags = [terms_of(t)[:SENTENCE_TERMS] for t in texts]
     prior = float(y.mean()) if len(y) else 0.0
     if not 0 < y.sum() < len(y):
         return {"weights": np.zeros(ALPHABET**3, np.float32), "bias": 0.0, "score": np.array([0.0, 0.0, -30.0 if prior < 0.5 else 30.0])}
-    toxic, clean, shown = Counter(), Counter(), Counter()
-    for bag, label in zip(bags, labels, strict=True):
-        (toxic if label else clean).update(set(bag))
-        shown.update(bag)
-    n_t, n_c = y.sum(), len(y) - y.sum()
-    odds = {t: np.log((n + 0.5) / (n_t + 1)) - np.log((clean[t] + 0.5) / (n_c + 1)) for t, n in toxic.items() if n >= 3}
-    positive = sorted((t for t in odds if odds[t] > 3), key=lambda t: (-odds[t], t))[:WITNESSES]
-    if not positive:
-        positive = sorted(odds or toxic, key=lambda t: (-odds.get(t, 0), t))[:20]
+    index: dict[str, int] = {}
+    of_bag = [np.unique(np.array([index.setdefault(t, len(index)) for t in terms_of(text)[:SENTENCE_TERMS]], dtype=np.int32)) for text in texts]
+    vocabulary = list(index)
+    shown = lambda label: np.bincount(np.concatenate([b for b, x in zip(of_bag, labels, strict=True) if x == label]), minlength=len(vocabulary))
+    toxic, clean = shown(1), shown(0)
+    odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / (len(y) - y.sum() + 1))
+    ranked = sorted(np.flatnonzero((toxic >= 3) & (odds > 3)).tolist(), key=lambda i: (-odds[i], vocabulary[i]))
+    if not ranked:
+        ranked = sorted(np.flatnonzero(toxic).tolist(), key=lambda i: (-odds[i], vocabulary[i]))[:20]
+    positive = [vocabulary[i] for i in ranked[:WITNESSES]]
     # Others: the most frequent terms of clean texts, and as many by hash.
-    often = sorted(clean, key=lambda t: (-clean[t], t))[: OTHERS // 2]
-    spread = sorted(set(clean) - set(often), key=lambda t: (zlib.crc32(t.encode()), t))[: OTHERS // 2]
-    negative = [t for t in dict.fromkeys(often + spread) if t not in set(positive)]
-    vocabulary = sorted({t for bag in bags for t in bag})
-    index = {t: i for i, t in enumerate(vocabulary)}
-    of_bag = [np.array([index[t] for t in set(bag)], dtype=int) for bag in bags]
+    calm_ids = np.flatnonzero(clean).tolist()
+    often = sorted(calm_ids, key=lambda i: (-clean[i], vocabulary[i]))[: OTHERS // 2]
+    spread = sorted(set(calm_ids) - set(often), key=lambda i: (zlib.crc32(vocabulary[i].encode()), vocabulary[i]))[: OTHERS // 2]
+    negative = [vocabulary[i] for i in often + spread if vocabulary[i] not in set(positive)]
     hard: list[str] = []
     for _ in range(ROUNDS):
-        calm = [t for t in negative if t not in set(hard)]
+        calm = [t for t in negative if t not in set(hard) and t not in set(positive)]
         marks = positive[: LANDMARKS // 2] + hard[: LANDMARKS // 4]
         marks += calm[:: max(1, len(calm) // max(1, LANDMARKS - len(marks)))][: LANDMARKS - len(marks)]
-        rows = dense(marks)
-        values, vectors = np.linalg.eigh(rows.astype(float) @ rows.T.astype(float))
+        space = Space(marks)
+        values, vectors = np.linalg.eigh((space.rows @ space.columns).astype(float))
         root = vectors / np.sqrt(np.maximum(values, 1e-6))  # kernel values @ root = Nyström features
         terms = positive + hard + calm
-        w, bias = svm(kernel(terms, rows) @ root, np.array([1.0] * len(positive) + [-1.0] * (len(terms) - len(positive))))
-        weights = ((root @ w) @ rows).astype(np.float32)
+        w, bias = svm(space.kernel(terms) @ root, np.array([1.0] * len(positive) + [-1.0] * (len(terms) - len(positive))))
+        weights = space.weights(root @ w)
         m = margins(vocabulary, weights, bias)
         # Each toxic text's highest terms are witnesses if clean texts hardly have them; clean texts' highest terms are the hardest others.
         best = lambda ids, n: ids[np.argsort(-m[ids], kind="stable")[:n]]
-        more = Counter(vocabulary[i] for ids, label in zip(of_bag, labels, strict=True) if label for i in best(ids, 1))
-        positive = list(dict.fromkeys([*positive, *sorted(t for t in more if odds.get(t, 0) > 2)]))
-        worst = Counter(vocabulary[i] for ids, label in zip(of_bag, labels, strict=True) if not label for i in best(ids, 3) if m[i] > -0.3)
-        hard = list(dict.fromkeys([*sorted(worst, key=lambda t: (-m[index[t]], t)), *hard]))[:OTHERS]
+        more = {i for ids, label in zip(of_bag, labels, strict=True) if label for i in best(ids, 1).tolist()}
+        positive = list(dict.fromkeys([*positive, *sorted(vocabulary[i] for i in more if odds[i] > 2)]))
+        worst = {i for ids, label in zip(of_bag, labels, strict=True) if not label for i in best(ids, 3).tolist() if m[i] > -0.3}
+        hard = list(dict.fromkeys([*[vocabulary[i] for i in sorted(worst, key=lambda i: (-m[i], vocabulary[i]))], *hard]))[:OTHERS]
         hard = [t for t in hard if t not in set(positive)]
         of = [m[ids] for ids in of_bag]
     score = logistic(np.array([summary(v) for v in of]), y)
