@@ -37,7 +37,8 @@ SINGLE = 512  # bands from under this size have one shingle to a block
 PLAIN, FEW, MANY = 0, 1, 2  # keys of shingles that aren't frequent; of frequent ones, in sets with few or many others
 OFTEN_HERE = 3  # of a task's documents: what counts as frequent there
 OFTEN = 400_000  # frequent shingles that are told apart, the most frequent ones (6.4 MB with their ranks)
-BLOCK = 800  # members that meet as many others in one task
+BLOCK = 3000  # members that meet as many others in one task
+SMALL = 8  # members of a bucket that meet by a join
 ROUNDS = 2  # of comparing each bucket with one of its members
 
 
@@ -275,11 +276,14 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         links = new if links is None else links.unionAll(new)
         comps = components(links.select(F.col("ka").alias("u"), F.col("kb").alias("v"))).withColumnRenamed("node", "k")
         many = _apart(many.join(leader, "b").where("k != leader").select("b", "k", "t", "weight"), comps)
-    # Members of one bucket that are still in different components, and weren't compared yet, meet each other: those of plain buckets
-    # (which are small, their shingles not being frequent) by a join, those of frequent ones in a grid of blocks.
-    side = lambda x: many.where(f"t = {PLAIN}").select("b", F.col("k").alias(f"k{x}"), F.col("c").alias(f"c{x}"))
+    # Members of one bucket that are still in different components, and weren't compared yet, meet each other: those of small
+    # buckets by a join, of which each row makes SMALL at most, all others in a grid of blocks.
+    large = many.groupBy("b").agg(F.count("*").alias("n"), F.max("t").alias("kind")).where(f"n > {SMALL} or kind != {PLAIN}").select("b")
+    large = written(large, "jaccard-large")
+    rest = many.join(large, "b", "left_anti")
+    side = lambda x: rest.select("b", F.col("k").alias(f"k{x}"), F.col("c").alias(f"c{x}"))
     pairs = side("a").join(side("b"), "b").where("ka < kb and ca != cb").select("ka", "kb").distinct()
-    pairs = pairs.unionAll(_grid(many.where(f"t != {PLAIN}"), facts)).distinct().join(tried, ["ka", "kb"], "left_anti")
+    pairs = pairs.unionAll(_grid(many.join(large, "b"), facts)).distinct().join(tried, ["ka", "kb"], "left_anti")
     more = verified(pairs, nodes, facts)
     linked = links.unionAll(more)
     # From words to doc_ids: a node's smallest doc_id, then a component's.
