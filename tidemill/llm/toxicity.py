@@ -85,8 +85,8 @@ def by_length(terms: list[str]) -> Iterator[tuple[list[int], np.ndarray]]:
     for at, t in enumerate(terms):
         groups.setdefault(len(t), []).append(at)
     for n, at in groups.items():
-        for b in range(0, len(at), 2000):
-            yield at[b : b + 2000], codes([terms[x] for x in at[b : b + 2000]])
+        for b in range(0, len(at), 500):
+            yield at[b : b + 500], codes([terms[x] for x in at[b : b + 500]])
 
 
 def features(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
