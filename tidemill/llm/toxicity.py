@@ -19,6 +19,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 import zlib
@@ -180,14 +181,19 @@ def summary(values: np.ndarray) -> list[float]:
     return [float(top[0]), float(np.clip(top * 2, 0, 1).sum())]
 
 
-def train(texts: list[str], labels: list[int]) -> dict:
-    """A model: weights of subsequences, bias, and the logistic that turns a text's summary into a score."""
+def bag(text: str) -> list[str]:
+    """A text's distinct terms among its first SENTENCE_TERMS, in order."""
+    return list(dict.fromkeys(terms_of(text)[:SENTENCE_TERMS]))
+
+
+def train(bags: list[list[str]], labels: list[int]) -> dict:
+    """A model of texts' bags: weights of subsequences, bias, and the logistic that turns a text's summary into a score."""
     y = np.array(labels, dtype=float)
     prior = float(y.mean()) if len(y) else 0.0
     if not 0 < y.sum() < len(y):
         return {"weights": np.zeros(ALPHABET**3, np.float32), "bias": 0.0, "score": np.array([0.0, 0.0, -30.0 if prior < 0.5 else 30.0])}
     index: dict[str, int] = {}
-    of_bag = [np.unique(np.array([index.setdefault(t, len(index)) for t in terms_of(text)[:SENTENCE_TERMS]], dtype=np.int32)) for text in texts]
+    of_bag = [np.unique(np.array([index.setdefault(t, len(index)) for t in terms], dtype=np.int32)) for terms in bags]
     vocabulary = list(index)
     shown = lambda label: np.bincount(np.concatenate([b for b, x in zip(of_bag, labels, strict=True) if x == label]), minlength=len(vocabulary))
     toxic, clean = shown(1), shown(0)
@@ -237,12 +243,28 @@ def score_texts(model: dict, texts: list[str], known: dict[str, float]) -> list[
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> dict:
-    """The model of at most SAMPLE labelled training texts (the operator's documented bound)."""
+    """The model of at most SAMPLE labelled training texts (the operator's documented bound). Executors cut texts to bags, and one task learns from all bags."""
+    spark = docs.sparkSession
     train_ids = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
     sample = train_ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "text"])
-    got = sorted((r["doc_id"], r["text"], int(r["toxic"])) for r in rows.select("doc_id", "text", "toxic").collect())
-    return train([t for _, t, _ in got], [y for _, _, y in got])
+
+    @F.pandas_udf("array<string>")
+    def bags_of(texts: pd.Series) -> pd.Series:
+        return texts.map(bag)
+
+    got = sorted((r["doc_id"], r["text"], r["bag"], int(r["toxic"])) for r in rows.select("doc_id", F.xxhash64("text").alias("text"), bags_of("text").alias("bag"), "toxic").collect())
+    learnt = spark.sparkContext.broadcast(zlib.compress(pickle.dumps(([b for _, _, b, _ in got], [y for *_, y in got])), 1))
+    del got
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"model": [pickle.dumps(train(*pickle.loads(zlib.decompress(learnt.value))))]})
+
+    model = pickle.loads(spark.range(0, 1, 1, 1).mapInPandas(learn, "model binary").collect()[0]["model"])
+    learnt.destroy()
+    return model
 
 
 def scored(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
