@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import documents, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-REMEMBERED = 200_000  # pre-tokens a worker keeps before it starts afresh; of those over LONG characters none
+REMEMBERED = 100_000  # pre-tokens a worker keeps before it starts afresh; of those over LONG characters none
 LONG = 64
+ROWS = 256  # texts whose ids and bytes a worker holds at once
 
 
 def byte_characters() -> list[str]:
@@ -130,8 +131,9 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec()
         for texts in batches:
-            ids = [c.encode(t) for t in texts]
-            yield pd.DataFrame({"ids": ids, "decoded": [c.decode(x) for x in ids]})
+            for b in range(0, len(texts), ROWS):
+                ids = [c.encode(t) for t in texts.iloc[b : b + ROWS]]
+                yield pd.DataFrame({"ids": ids, "decoded": [c.decode(x) for x in ids]})
 
     x = docs.withColumn("__both", both(text_of(text)))
     return x.withColumns({"__ids": F.col("__both.ids"), "__decoded": F.col("__both.decoded")}).drop("__both")

@@ -41,7 +41,7 @@ OTHERS = 2400
 DECAY = 0.6
 SLICE = 24
 ALPHABET = 64
-REMEMBERED = 400_000
+REMEMBERED = 150_000  # terms' margins a worker keeps before it starts afresh
 START, END, OTHER = 62, 63, 61
 LETTERS = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyzàáâäãçèéêëìíîïñòóôöùúûüß0123456789")}
 SINGLES = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
