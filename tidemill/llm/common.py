@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +42,44 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, name: str, buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, key: str, name: str, buckets: int, compression: str = "snappy") -> DataFrame:
     """df as a table bucketed by key in the shared warehouse: later joins on key don't shuffle it."""
     spark = df.sparkSession
     table = f"tidemill_{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, key).saveAsTable(table, format="parquet")
+    df.write.option("compression", compression).bucketBy(buckets, key).saveAsTable(table, format="parquet")
     return spark.table(table)
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that nothing refers to any more. It does so whenever the driver collects garbage,
+    which a driver with little to do would put off while the files pile up."""
+    gc.collect()  # Python's references to plans go first
+    spark.sparkContext._jvm.System.gc()
+
+
+def trim() -> None:
+    """Gives memory that this process has freed back to the system."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if give:
+        give(0)
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, after whose last batch the worker is trimmed: workers stay for later stages, and would keep the most that any stage took."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return whole
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import bucketed, documents, partitions, text_of, written
+from tidemill.llm.common import bucketed, documents, partitions, swept, text_of, trimmed, written
 from tidemill.llm.graph import components
 from tidemill.llm.shingles import canonical, common, mixed, shingles
 
@@ -194,17 +194,18 @@ def verified(pairs: DataFrame, nodes: DataFrame, facts: DataFrame) -> DataFrame:
     """Of pairs (ka, kb: distinct), those that link. nodes: k, words, bucketed by k; facts: k, n and the sketch."""
     side = lambda x: facts.select(*[F.col(c).alias(f"{c}{x}") for c in facts.columns])
     near = pairs.join(side("a"), "ka").join(side("b"), "kb").where(F.least("na", "nb") * 4 >= F.greatest("na", "nb") * 3)
-    near = near.mapInPandas(_near, "ka long, kb long")
+    near = near.mapInPandas(trimmed(_near), "ka long, kb long")
     near = written(near.select("ka", "kb"), "jaccard-near")
     full = near.join(nodes.select(F.col("k").alias("ka"), F.col("words").alias("words_a")), "ka").join(nodes.select(F.col("k").alias("kb"), F.col("words").alias("words_b")), "kb")
-    return written(full.mapInPandas(_verified, "ka long, kb long"), "jaccard-links")
+    return written(full.mapInPandas(trimmed(_verified), "ka long, kb long"), "jaccard-links")
 
 
 def _apart(rest: DataFrame, comps: DataFrame) -> DataFrame:
-    """rest (b, k, t, weight: members that haven't met all others), with components, of the buckets that still hold several."""
+    """rest (b, k, t, weight: members that haven't met all others), with components, of the buckets that still hold several; bucketed by b."""
+    whole = Window.partitionBy("b")
     x = rest.join(comps, "k", "left").select("b", "k", "t", "weight", F.coalesce("component", "k").alias("c"))
-    split = x.groupBy("b").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("t").alias("one")).where(f"c1 != c2 and one < {MANY}").select("b")
-    return written(x.join(split, "b"), "jaccard-apart")
+    x = x.withColumns({"c1": F.min("c").over(whole), "c2": F.max("c").over(whole), "one": F.min("t").over(whole)})
+    return bucketed(x.where(f"c1 != c2 and one < {MANY}").select("b", "k", "t", "weight", "c"), "b", "jaccard_apart", partitions(rest.sparkSession))
 
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -243,27 +244,31 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """(doc_id, n_shingles, component_id) for every row of docs."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    addressed = rows.mapInPandas(_addressed, "doc_id long, k long, k2 long, words binary")
+    addressed = rows.mapInPandas(trimmed(_addressed), "doc_id long, k long, k2 long, words binary")
     # Documents of the same words collapse before the shuffle: one row of each task for a group of copies.
     grouped = addressed.groupBy("k").agg(F.min("k2").alias("k2"), F.max("k2").alias("other"), F.min("words").alias("words"))
-    nodes = bucketed(grouped, "k", "jaccard", partitions(spark))
+    nodes = bucketed(grouped, "k", "jaccard", partitions(spark), "zstd")
+    swept(spark)
     if not nodes.where("k2 != other").isEmpty():
         raise ValueError("two texts share a 64-bit address; another hash is needed")
     nodes = nodes.select("k", "words").where("octet_length(words) > 0")
-    described = written(nodes.mapInPandas(_described, "k long, n long, t long, sketch binary"), "jaccard-facts")
+    described = written(nodes.mapInPandas(trimmed(_described), "k long, n long, t long, sketch binary"), "jaccard-facts")
     facts = described.where("k is not null").select("k", "n", "sketch")
     often = described.where("k is null").groupBy("t").agg(F.sum("n").alias("n"))
     top = often.orderBy(F.desc("n"), "t").limit(OFTEN).toPandas()
     values = top["t"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(values)
     shared = spark.sparkContext.broadcast((values[order], (len(values) - order).astype(np.int64)))
-    buckets = nodes.mapInPandas(_keys(shared), "b long, k long, t byte")
+    buckets = nodes.mapInPandas(trimmed(_keys(shared)), "b long, k long, t byte")
     whole = Window.partitionBy("b")
     many = buckets.withColumns({"least": F.min("k").over(whole), "most": F.max("k").over(whole), "n": F.count("*").over(whole), "one": F.min("t").over(whole)})
     many = written(many.where(f"least != most and one < {MANY}").select("b", "k", "n", "t"), "jaccard-buckets")
+    swept(spark)
     # The member that shares most buckets is compared with all others first: the text that others are copies of has no edits of its own.
     central = many.groupBy("k").agg(F.sum("n").alias("weight"))
-    many = written(many.join(central, "k").select("b", "k", "t", "weight"), "jaccard-members")
+    # Bucketed by b, they aren't shuffled again in the rounds.
+    many = many.join(central, "k").select("b", "k", "t", "weight").repartition(partitions(spark), "b")
+    many = bucketed(many, "b", "jaccard_members", partitions(spark))
     links = tried = None
     for _ in range(ROUNDS):
         leader = many.groupBy("b").agg(F.max(F.struct(-F.col("t"), "weight", "k"))["k"].alias("leader"))
@@ -276,6 +281,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         links = new if links is None else links.unionAll(new)
         comps = components(links.select(F.col("ka").alias("u"), F.col("kb").alias("v"))).withColumnRenamed("node", "k")
         many = _apart(many.join(leader, "b").where("k != leader").select("b", "k", "t", "weight"), comps)
+        swept(spark)
     # Members of one bucket that are still in different components, and weren't compared yet, meet each other: those of small
     # buckets by a join, of which each row makes SMALL at most, all others in a grid of blocks.
     large = many.groupBy("b").agg(F.count("*").alias("n"), F.max("t").alias("kind")).where(f"n > {SMALL} or kind != {PLAIN}").select("b")
