@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import documents, text_of
+from tidemill.llm.common import documents, text_of, trim
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 REMEMBERED = 100_000  # pre-tokens a worker keeps before it starts afresh; of those over LONG characters none
@@ -130,10 +130,13 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None
     @F.pandas_udf("struct<ids:binary,decoded:binary>")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec()
-        for texts in batches:
-            for b in range(0, len(texts), ROWS):
-                ids = [c.encode(t) for t in texts.iloc[b : b + ROWS]]
-                yield pd.DataFrame({"ids": ids, "decoded": [c.decode(x) for x in ids]})
+        try:
+            for texts in batches:
+                for b in range(0, len(texts), ROWS):
+                    ids = [c.encode(t) for t in texts.iloc[b : b + ROWS]]
+                    yield pd.DataFrame({"ids": ids, "decoded": [c.decode(x) for x in ids]})
+        finally:
+            trim()
 
     x = docs.withColumn("__both", both(text_of(text)))
     return x.withColumns({"__ids": F.col("__both.ids"), "__decoded": F.col("__both.decoded")}).drop("__both")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import documents, text_of
+from tidemill.llm.common import documents, text_of, trim, trimmed
 
 SAMPLE = 6000
 SENTENCE_TERMS = 4000
@@ -272,7 +272,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> dict:
                 bags, y = learnt.value
                 yield pd.DataFrame({"model": [pickle.dumps(train(map(unpacked, bags), y))]})
 
-    model = pickle.loads(spark.range(0, 1, 1, 1).mapInPandas(learn, "model binary").collect()[0]["model"])
+    model = pickle.loads(spark.range(0, 1, 1, 1).mapInPandas(trimmed(learn), "model binary").collect()[0]["model"])
     learnt.destroy()
     return model
 
@@ -284,9 +284,13 @@ def scored(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, float] = {}
-        for texts in batches:
-            got = texts.tolist()
-            yield pd.Series([s for b in range(0, len(got), 64) for s in score_texts(shared.value, got[b : b + 64], known)], dtype="float64")
+        try:
+            for texts in batches:
+                got = texts.tolist()
+                yield pd.Series([s for b in range(0, len(got), 64) for s in score_texts(shared.value, got[b : b + 64], known)], dtype="float64")
+        finally:
+            known.clear()
+            trim()
 
     return docs.withColumn("__score", score(text_of(text)))
 
