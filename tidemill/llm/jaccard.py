@@ -39,6 +39,7 @@ OFTEN_HERE = 3  # of a task's documents: what counts as frequent there
 OFTEN = 400_000  # frequent shingles that are told apart, the most frequent ones (6.4 MB with their ranks)
 BLOCK = 3000  # members that meet as many others in one task
 SMALL = 8  # members of a bucket that meet by a join
+ROWS, BUCKETS = 150_000, 10_000  # members to a bucket of their tables (some 4 MB), and most buckets; beyond, buckets grow and sorts spill
 ROUNDS = 2  # of comparing each bucket with one of its members
 
 
@@ -200,12 +201,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, facts: DataFrame) -> DataFrame:
     return written(full.mapInPandas(trimmed(_verified), "ka long, kb long"), "jaccard-links")
 
 
-def _apart(rest: DataFrame, comps: DataFrame) -> DataFrame:
+def _apart(rest: DataFrame, comps: DataFrame, buckets: int) -> DataFrame:
     """rest (b, k, t, weight: members that haven't met all others), with components, of the buckets that still hold several; bucketed by b."""
     whole = Window.partitionBy("b")
     x = rest.join(comps, "k", "left").select("b", "k", "t", "weight", F.coalesce("component", "k").alias("c"))
     x = x.withColumns({"c1": F.min("c").over(whole), "c2": F.max("c").over(whole), "one": F.min("t").over(whole)})
-    return bucketed(x.where(f"c1 != c2 and one < {MANY}").select("b", "k", "t", "weight", "c"), "b", "jaccard_apart", partitions(rest.sparkSession))
+    return bucketed(x.where(f"c1 != c2 and one < {MANY}").select("b", "k", "t", "weight", "c"), "b", "jaccard_apart", buckets)
 
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -267,8 +268,8 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     # The member that shares most buckets is compared with all others first: the text that others are copies of has no edits of its own.
     central = many.groupBy("k").agg(F.sum("n").alias("weight"))
     # Bucketed by b, they aren't shuffled again in the rounds.
-    many = many.join(central, "k").select("b", "k", "t", "weight").repartition(partitions(spark), "b")
-    many = bucketed(many, "b", "jaccard_members", partitions(spark))
+    parts = min(BUCKETS, max(1, -(-many.count() // ROWS)))
+    many = bucketed(many.join(central, "k").select("b", "k", "t", "weight").repartition(parts, "b"), "b", "jaccard_members", parts)
     links = tried = None
     for _ in range(ROUNDS):
         leader = many.groupBy("b").agg(F.max(F.struct(-F.col("t"), "weight", "k"))["k"].alias("leader"))
@@ -280,7 +281,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         new = verified(pairs, nodes, facts)
         links = new if links is None else links.unionAll(new)
         comps = components(links.select(F.col("ka").alias("u"), F.col("kb").alias("v"))).withColumnRenamed("node", "k")
-        many = _apart(many.join(leader, "b").where("k != leader").select("b", "k", "t", "weight"), comps)
+        many = _apart(many.join(leader, "b").where("k != leader").select("b", "k", "t", "weight"), comps, parts)
         swept(spark)
     # Members of one bucket that are still in different components, and weren't compared yet, meet each other: those of small
     # buckets by a join, of which each row makes SMALL at most, all others in a grid of blocks.
