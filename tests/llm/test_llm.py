@@ -168,6 +168,18 @@ def test_pages(spark):
     assert pages.extracted(x.limit(0)).count() == 0
 
 
+def test_pages_of_copies(spark):
+    page = lambda i, ad=0: f"<body><p>Always here</p><p>Body {i}</p><p>More {i}</p><div class='ad'>Buy {ad}</div></body>"
+    whole = lambda i: f"Always here\n\nBody {i}\n\nMore {i}"
+    few = [page(0)] * 4 + [page(0, i) for i in range(5)]  # one page, repeated and with other adverts
+    most = [page(0, i % 7) for i in range(40)] + [page(i) for i in range(1, 6)]
+    rows = [(i, "http://few.example.org", h) for i, h in enumerate(few)] + [(100 + i, "http://most.example.org", h) for i, h in enumerate(most)]
+    x = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["__text"] for r in pages.extracted(x).collect()}
+    assert all(got[i] == whole(0) for i in range(len(few)))
+    assert [got[100 + i] for i in range(45)] == [whole(n).split("\n\n", 1)[1] for n in [0] * 40 + [1, 2, 3, 4, 5]]
+
+
 def test_secrets(spark, docs, empty):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     for table in (docs, real(spark)):
