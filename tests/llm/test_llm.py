@@ -281,6 +281,14 @@ def test_quality(spark, docs, empty):
     assert quality.judged(empty).count() == 0
 
 
+def test_quality_of_many_languages(spark):
+    # 230 languages with words of their own, of which 8 make a third of every text.
+    text = lambda g: " ".join(f"common{g}n{j % 8}" if j % 3 == 0 else f"own{g}n{j}" for j in range(120))
+    rows = [(g, text(g), f"l{g}") for g in range(230)] + [(1000, text(3), "l4")]
+    got = {r["doc_id"]: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    assert len(got) == 231 and all(got[g]["kept"] and got[g]["word_distance"] < 1e-6 for g in range(230) if g != 4) and not got[1000]["kept"]
+
+
 def repeats_by_force(rows):
     seen, out = set(), []
     for i, t in rows:

@@ -5,21 +5,21 @@ documents of that language by Jensen-Shannon distance (base 2). The references a
 LEAST_CHARS characters, or LEAST_WORDS words, the histogram is too small to judge and that comparison passes.
 
 Defined results: a null text has no words (base_failed); a null language is a language of its own; repeated rows are judged alike;
-an empty table gives an empty result. A language's reference is at most CLASSES plus COMMON numbers; the languages are counted, and
-over MAX_LANGS of them the rarest share one reference.
+an empty table gives an empty result. A language's reference is at most CLASSES plus COMMON numbers; references are a table with a
+row for each language, joined by language, so there may be any number of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WORD, documents, let, written
+from tidemill.llm.common import WORD, bounded, documents, let, written
 
 CLASSES = ("upper", "lower", "digit", "symbol", "mark", "space", "other")
 SYMBOLS = r"[#*$%&|<>]"
 COMMON = 20
-MAX_LANGS = 200
+MAX_BROADCAST = 20_000  # references that are broadcast; more of them are joined by shuffle
 LEAST_CHARS = 200
 LEAST_WORDS = 80
 MAX_CLASS_DISTANCE = 0.30
@@ -81,68 +81,54 @@ def measured(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     return x.withColumn("__classes", F.array("__u", "__l", "__d", "n_symbols", "__m", space, other)).drop("__u", "__l", "__d", "__m", "__n")
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
-    """For each language: class counts, its COMMON most frequent words (by count, then word) with their counts, and its number of words."""
-    x = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("g"), F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0)).alias("w"))
-    counts = written(x.select("g", F.explode("w").alias("word")).groupBy("g", "word").agg(F.count("*").alias("n")), "quality-words")
-    sums = counts.groupBy("g").agg(F.sum("n").alias("n"), F.max_by("word", F.struct("n", "word")).alias("top"))
-    langs = [r["g"] for r in sums.orderBy(F.desc("n"), "g").limit(MAX_LANGS).collect()]
-    top = {g: [] for g in langs}
-    totals = {r["g"]: r["n"] for r in sums.where(F.col("g").isin(langs)).collect()} if langs else {}
-    for g in langs:
-        for r in counts.where(F.col("g") == g).orderBy(F.desc("n"), "word").limit(COMMON).collect():
-            top[g].append((r["word"], r["n"]))
-    return {g: {"n": totals[g], "words": top[g]} for g in langs}
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """A row for each language that has words: __g, its COMMON most frequent words (by count, then word) as __common, and as __word_shares their shares of its words and the rest's."""
+    x = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("__g"), F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0)).alias("w"))
+    counts = written(x.select("__g", F.explode("w").alias("word")).groupBy("__g", "word").agg(F.count("*").alias("n")), "quality-words")
+    sums = counts.groupBy("__g").agg(F.sum("n").alias("n"))
+    # Spark keeps the first COMMON of a language in each task before it deals them out.
+    top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("__g").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON)
+    top = top.groupBy("__g").agg(F.sort_array(F.collect_list(F.struct("rank", "word", F.col("n").alias("k")))).alias("top"))
+    shares = F.transform("top", lambda s: s["k"] / F.col("n"))
+    out = top.join(sums, "__g").select("__g", F.transform("top", lambda s: s["word"]).alias("__common"), shares.alias("shares"))
+    return written(out.select("__g", "__common", F.concat("shares", F.array(1 - total(F.col("shares"), "double"))).alias("__word_shares")), "quality-references")
 
 
-def jsd(p: Column, q: list[float]) -> Column:
-    """Jensen-Shannon distance of two distributions; p: array<double>."""
+def jsd(p: Column, q: Column) -> Column:
+    """Jensen-Shannon distance of two distributions; both array<double>."""
     part = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
-    terms = F.zip_with(p, F.array(*map(F.lit, q)), lambda a, b: part(a, (a + b) / 2) + part(b, (a + b) / 2))
+    terms = F.zip_with(p, q, lambda a, b: part(a, (a + b) / 2) + part(b, (a + b) / 2))
     return F.sqrt(F.greatest(F.lit(0.0), total(terms, "double") / 2))
 
 
-def common_hits(ref: dict) -> Column:
-    """How often the document has each common word of one language."""
-    words = [w for w, _ in ref["words"]]
-    lowered = F.filter(F.transform("__w", lambda v: F.lower(v)), lambda v: v.isin(words))
-    return let(lowered, lambda hits: F.transform(F.array(*map(F.lit, words)), lambda w: F.size(F.filter(hits, lambda h: h == w)).cast("long")))
-
-
-def by_language(refs: dict, column: str, of) -> Column:
-    """of(language, its reference) for the document's language; languages without a reference have that of the last."""
-    out = None
-    for g, ref in reversed(refs.items()):
-        out = of(g, ref) if out is None else F.when(F.col(column) == g, of(g, ref)).otherwise(out)
-    return out
+def common_hits() -> Column:
+    """How often the document has each common word of its language."""
+    places = F.filter(F.transform("__w", lambda v: F.array_position(F.col("__common"), F.lower(v))), lambda i: i > 0)
+    hits = let(places, lambda found: F.transform("__common", lambda _, i: F.size(F.filter(found, lambda h: h == i + 1)).cast("long")))
+    return F.when(F.col("__common").isNull(), F.array().cast("array<bigint>")).otherwise(hits)
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None) -> DataFrame:
     """The carried columns of docs (all, if none are named) with the base columns, class_distance, word_distance, base_failed and kept."""
     refs = references(docs, text, lang)
-    x = measured(docs, text, lang)
-    hits = by_language(refs, "__g", lambda _, ref: common_hits(ref)) if refs else F.array().cast("array<bigint>")
+    x = docs.withColumn("__g", F.coalesce(F.col(lang), F.lit(""))).join(bounded(refs.select("__g", "__common"), MAX_BROADCAST), "__g", "left")
+    x = measured(x, text, lang)
     carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
     # Texts are read once for all measures; what follows works on a few numbers for each document.
-    x = written(x.select(*carried, *BASE, "__g", "__classes", hits.alias("__hits")), "quality-measures")
-    g = F.when(F.col("__g").isin(list(refs)), F.col("__g")).otherwise(list(refs)[-1]) if refs else F.col("__g")
-    sums = x.groupBy(g.alias("g")).agg(*[F.sum(F.col("__classes")[i]).alias(c) for i, c in enumerate(CLASSES)]).collect()  # a row a language
-    pooled = {r["g"]: [r[c] or 0 for c in CLASSES] for r in sums}
-    shares = lambda xs: [v / max(1, sum(xs)) for v in xs]
-    n_chars = total(F.col("__classes"))
-
-    def by_word(_: str, ref: dict) -> Column:
-        q = [c / ref["n"] for _, c in ref["words"]]
-        n = F.col("n_words")
-        p = F.concat(F.transform("__hits", lambda h: h / n), F.array((n - total(F.col("__hits"))) / n))
-        return jsd(p, [*q, 1 - sum(q)])
-
-    class_d = by_language(refs, "__g", lambda g, _: jsd(F.transform("__classes", lambda v: v / n_chars), shares(pooled.get(g, [1])))) if refs else F.lit(0.0)
-    word_d = by_language(refs, "__g", by_word) if refs else F.lit(0.0)
-    x = x.withColumn("class_distance", F.when(n_chars < LEAST_CHARS, 0.0).otherwise(class_d)).withColumn("word_distance", F.when(F.col("n_words") < LEAST_WORDS, 0.0).otherwise(word_d))
+    x = written(x.select(*carried, *BASE, "__g", "__classes", common_hits().alias("__hits")), "quality-measures")
+    sums = x.groupBy("__g").agg(*[F.sum(F.col("__classes")[i]).alias(c) for i, c in enumerate(CLASSES)])
+    n_all = F.greatest(F.lit(1), total(F.array(*CLASSES)))
+    pooled = sums.select("__g", F.array(*[F.col(c) / n_all for c in CLASSES]).alias("__class_shares"))
+    shares = written(pooled.join(refs.select("__g", "__word_shares"), "__g", "left"), "quality-shares")
+    x = x.join(bounded(shares, MAX_BROADCAST), "__g")
+    n_chars, n = total(F.col("__classes")), F.col("n_words")
+    class_d = jsd(F.transform("__classes", lambda v: v / n_chars), F.col("__class_shares"))
+    word_d = jsd(F.concat(F.transform("__hits", lambda h: h / n), F.array((n - total(F.col("__hits"))) / n)), F.col("__word_shares"))
+    x = x.withColumn("class_distance", F.when(n_chars < LEAST_CHARS, 0.0).otherwise(class_d)).withColumn("word_distance", F.when(n < LEAST_WORDS, 0.0).otherwise(word_d))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     x = x.withColumn("base_failed", failed)
-    return x.withColumn("kept", ~F.col("base_failed") & (F.col("class_distance") <= MAX_CLASS_DISTANCE) & (F.col("word_distance") <= MAX_WORD_DISTANCE)).drop("__g", "__classes", "__hits")
+    x = x.withColumn("kept", ~F.col("base_failed") & (F.col("class_distance") <= MAX_CLASS_DISTANCE) & (F.col("word_distance") <= MAX_WORD_DISTANCE))
+    return x.drop("__g", "__classes", "__hits", "__class_shares", "__word_shares")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
