@@ -74,6 +74,18 @@ def test_pii_terms(spark):
     assert terms == {"zarathustra"}
 
 
+def pii_texts():
+    texts = [f"number {i} filler{i} Zarathustra zed@mail.example.com then{i} other{i}" for i in range(6)] + [f"plain number then other filler {i}" for i in range(50)]
+    return texts + [f"with{i} mail m{i}@x.example.com in{i}" for i in range(40)]
+
+
+def test_pii_terms_of_copies(spark):
+    texts = pii_texts()
+    x = pii.annotate(spark.createDataFrame(list(enumerate(texts + texts[:1] * 20)), "doc_id long, text string").repartition(3))
+    got = {r["doc_id"]: {s["value"] for s in r["__spans"] if s["kind"] == "term"} for r in x.collect()}
+    assert all(got[i] == ({"zarathustra"} if i < 6 or i >= len(texts) else set()) for i in got) and len(got) == len(texts) + 20
+
+
 def test_toxicity(spark, docs, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     sf = "/root/testdata/sf0.1"

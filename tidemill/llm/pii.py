@@ -3,7 +3,7 @@
 Base entities (email, ip, card, phone) are found by pattern and always protected. Around each, the terms of a context window are
 counted over the whole corpus: a term t discloses an entity e when seeing t makes e so likely that most of e's information content
 is given away, PMI(e;t) >= DISCLOSURE * IC(e), with p(e|t) >= LEAST_GIVEN and at least SUPPORT different contexts (copies of one
-passage are one context). Such terms are generalised inside the contexts of e.
+passage are one context). p(e|t) is t's places near e over all its places, both over different texts and outside base entities. Such terms are generalised inside the contexts of e.
 
 Defined results: a null text is the empty text; empty texts have no spans; repeated rows are treated alike; an empty table gives an
 empty result; other columns, whatever their names, are left alone.
@@ -61,33 +61,50 @@ def entity(s: Column) -> Column:
     return F.concat(s["kind"], F.lit(":"), F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"]).otherwise(digits(s["value"])))
 
 
+def outside(s: Column, base: Column) -> Column:
+    """Whether span s overlaps no base span."""
+    return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+
+
 def contexts(found: DataFrame, text: str = "__text", base: str = "__base") -> DataFrame:
     """One row for each base span: its entity, a hash of its context, and the spans of the terms near it."""
-    x = found.where(F.size(base) > 0).select("__row", text, F.explode(base).alias("__s"))
-    x = x.select("__row", entity(F.col("__s")).alias("__entity"), F.col("__s.start").alias("__a"), F.col("__s.end").alias("__b"), text)
+    x = found.where(F.size(base) > 0).select("__row", text, F.col(base).alias("__all"), F.explode(base).alias("__s"))
+    x = x.select("__row", entity(F.col("__s")).alias("__entity"), F.col("__s.start").alias("__a"), F.col("__s.end").alias("__b"), text, "__all")
     from_ = F.greatest(F.col("__a") - CONTEXT, F.lit(0))
     x = x.select(
         "__row", "__entity", "__a", "__b", from_.alias("__from"),
         F.substring(text, from_ + 1, F.col("__a") - from_).alias("__left"), F.substring(F.col(text), F.col("__b") + 1, F.lit(CONTEXT)).alias("__right"),
+        ((from_ > 0) & F.substring(text, F.greatest(from_, F.lit(1)), F.lit(1)).rlike(TERM)).alias("__cut_left"), F.substring(F.col(text), F.col("__b") + CONTEXT + 1, F.lit(1)).rlike(TERM).alias("__cut_right"), "__all",
     )
     left = F.slice(F.reverse(spans(F.col("__left"), TERM, "term", 4)), 1, WINDOW)
     right = F.slice(spans(F.col("__right"), TERM, "term", 4), 1, WINDOW)
     moved = lambda xs, by: F.transform(xs, lambda s: F.struct((s["start"] + by).alias("start"), s["rank"].alias("rank"), (s["end"] + by).alias("end"), s["kind"].alias("kind"), F.lower(s["value"]).alias("value")))
-    return x.select("__row", "__entity", F.xxhash64("__left", "__right").alias("__context"), F.concat(moved(left, F.col("__from")), moved(right, F.col("__b"))).alias("__terms"))
+    # What the context's ends cut isn't a term, and what is part of an entity is replaced with it.
+    near_left = F.filter(moved(left, F.col("__from")), lambda s: ~(F.col("__cut_left") & (s["start"] == F.col("__from"))) & outside(s, F.col("__all")))
+    near_right = F.filter(moved(right, F.col("__b")), lambda s: ~(F.col("__cut_right") & (s["end"] == F.col("__b") + CONTEXT)) & outside(s, F.col("__all")))
+    return x.select("__row", "__entity", F.xxhash64("__left", "__right").alias("__context"), F.concat(near_left, near_right).alias("__terms"))
+
+
+def places(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """(__row, __at, __term): the places of terms (__term) outside base spans, in different texts. found has __row, __text and __base."""
+    text = F.when(F.size("__base") > 0, replaced(F.col("__text"), F.col("__base"), lambda s: F.lit(" "))).otherwise(F.col("__text"))
+    x = found.select("__row", F.posexplode(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))).alias("__at", "__term")).withColumn("__term", F.lower("__term"))
+    return x.join(bounded(terms), "__term", "left_semi").select("__row", "__at", "__term").distinct()
 
 
-def disclosing(corpus: DataFrame, near: DataFrame) -> DataFrame:
-    """(__entity, __term) pairs over the thresholds. corpus has __text, near comes from contexts()."""
+def disclosing(found: DataFrame, near: DataFrame) -> DataFrame:
+    """(__entity, __term) pairs over the thresholds. found has __row, __text and __base, near comes from contexts()."""
     seen = near.select("__entity", "__context", F.explode("__terms.value").alias("__term")).distinct()
-    pairs = seen.groupBy("__entity", "__term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= SUPPORT)
-    # A term occurs at least once in each text that has it near an entity; pairs that fail LEAST_GIVEN by that alone need no corpus count.
-    texts = near.select("__row", F.explode("__terms.value").alias("__term")).distinct().groupBy("__term").agg(F.count("*").alias("n_texts"))
-    pairs = pairs.join(texts, "__term").where(F.col("n_pair") >= LEAST_GIVEN * F.col("n_texts")).drop("n_texts")
+    support = seen.groupBy("__entity", "__term").agg(F.count("*").alias("n_contexts")).where(F.col("n_contexts") >= SUPPORT)
+    close = near.select("__row", "__entity", F.explode("__terms").alias("__t")).select("__row", "__entity", F.col("__t.start").alias("__at"), F.col("__t.value").alias("__term"))
+    pairs = close.distinct().groupBy("__entity", "__term").agg(F.count("*").alias("n_pair")).join(support, ["__entity", "__term"], "left_semi")
+    # A term's places near any entity are some of its places; pairs that fail LEAST_GIVEN by these alone need no corpus count.
+    least = close.select("__row", "__at", "__term").distinct().groupBy("__term").agg(F.count("*").alias("n_near"))
+    pairs = pairs.join(least, "__term").where(F.col("n_pair") >= LEAST_GIVEN * F.col("n_near")).drop("n_near")
     pairs = written(pairs, "pii-pairs")
     entities = near.select("__entity", "__context").distinct().groupBy("__entity").agg(F.count("*").alias("n_entity"))
     total = entities.agg(F.sum("n_entity").alias("n_all"))
-    terms = corpus.select(F.explode(F.regexp_extract_all(F.lower("__text"), F.lit(TERM), F.lit(0))).alias("__term"))
-    counts = terms.join(bounded(pairs.select("__term").distinct()), "__term", "left_semi").groupBy("__term").agg(F.count("*").alias("n_term"))
+    counts = places(found, pairs.select("__term").distinct()).groupBy("__term").agg(F.count("*").alias("n_term"))
     scored = pairs.join(entities, "__entity").join(counts, "__term").crossJoin(F.broadcast(total))  # total is one row
     given, p = F.col("n_pair") / F.col("n_term"), F.col("n_entity") / F.col("n_all")
     return scored.where((given >= LEAST_GIVEN) & (F.log2(given / p) >= DISCLOSURE * -F.log2(p))).select("__entity", "__term")
@@ -99,8 +116,7 @@ def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
     found = found.withColumns({"__base": base_spans(F.col("__text")), "__row": F.sha2("__text", 256)})
     # What has no entity needs no key, and what has none of the same text twice needs only one context row.
     near = written(contexts(found.where(F.size("__base") > 0).select("__row", "__text", "__base")).distinct(), "pii-contexts")
-    corpus = docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    pairs = written(disclosing(corpus, near), "pii-disclosing")
+    pairs = written(disclosing(found.select("__row", "__text", "__base"), near), "pii-disclosing")
     flagged = near.select("__row", "__entity", F.explode("__terms").alias("__t")).withColumn("__term", F.col("__t.value"))
     flagged = flagged.join(bounded(pairs), ["__entity", "__term"], "left_semi").groupBy("__row").agg(F.collect_set("__t").alias("__more"))
     flagged = written(flagged, "pii-flagged")  # a few terms for each text that has an entity
@@ -108,17 +124,22 @@ def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("__spans", F.sort_array(F.when(F.col("__more").isNull(), F.col("__base")).otherwise(F.concat("__base", "__more")))).drop("__more")
 
 
-def sanitised(text: Column, found: Column) -> Column:
-    """text with each span (overlapping ones joined) replaced: entities removed as [KIND], terms generalised as [TERM]."""
+def replaced(text: Column, found: Column, by) -> Column:
+    """text with each span (overlapping ones joined) replaced by by(span)."""
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), by(s))
         return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(s["end"].alias("at"), more.alias("out")))
 
     return F.aggregate(found, first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
+def sanitised(text: Column, found: Column) -> Column:
+    """text with entities removed as [KIND] and terms generalised as [TERM]."""
+    return replaced(text, found, lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+
+
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with text sanitised; all other columns, and rows, as they are. A null text stays null."""
     out = annotate(docs, text)
