@@ -86,16 +86,53 @@ def test_pii_terms_of_copies(spark):
     assert all(got[i] == ({"zarathustra"} if i < 6 or i >= len(texts) else set()) for i in got) and len(got) == len(texts) + 20
 
 
+def toxic_rows():
+    """Labelled texts of invented words, a third of them with an insult; clean texts have look-alikes of the insults."""
+    rng = np.random.default_rng(11)
+    syllables = ["ba", "ko", "ri", "tu", "me", "sal", "dor", "vin", "lek", "po"]
+    word = lambda: "".join(rng.choice(syllables, int(rng.integers(2, 5))))
+    insults, alike = ["grobnik", "zwertle", "flumpish"], ["grobal", "twerle", "flumpet", "nikrob"]
+    rows = []
+    for i in range(900):
+        words = [word() for _ in range(int(rng.integers(20, 60)))]
+        for _ in range(2):
+            words[int(rng.integers(0, len(words)))] = str(rng.choice(insults if i % 3 == 0 else alike))
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    return rows
+
+
+def test_toxicity_tolerates_gaps_and_insertions(spark):
+    rows = toxic_rows()
+    model = toxicity.train([toxicity.bag(t) for _, t, _ in rows], [y for *_, y in rows])
+    score = lambda t: toxicity.score_texts(model, ["bakori tume " + t + " vinlek podor"], {})[0]
+    for bad in ("grobnik", "Grobnik!", "g r o b n i k", "g-r-o-b-n-i-k", "gro*bnik", "g.r~o#b_n'ik", "grobxnik", "zwer7tle", "flummpish", "flumpishh"):
+        assert score(bad) >= 0.5, bad
+    for good in ("grobal", "twerle", "flumpet", "nikrob", "", "https://sal.example.org/dor?vin=lek"):
+        assert score(good) < 0.5, good
+    long_ = " ".join(t for _, t, y in rows if not y)
+    assert score(long_ * 3) < 0.5 <= score(long_ * 3 + " grobnik zwertle")
+
+
+def test_toxicity_labels_of_ties_nulls_and_clashing_names(spark):
+    rows = toxic_rows()
+    docs = spark.createDataFrame([(i, t, 0.5, "x") for i, t, _ in rows] + [(None, rows[0][1], 1.0, "y"), (5000, None, 1.0, "z")], "doc_id long, text string, __score double, score string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(i, 0) for i, _, y in rows if y] + [(None, 1), (3, None), (7777, 1)], "doc_id long, toxic int")
+    model = toxicity.fitted(docs, labels)  # of 0 and 1 for one document, 1 counts
+    kept = toxicity.kept(docs, model)
+    assert kept.columns == docs.columns
+    got = {r["doc_id"] for r in kept.collect()}
+    assert got == {i for i, _, y in rows if not y} | {5000}
+    nothing = toxicity.fitted(docs, labels.where("toxic = 0"))
+    assert toxicity.kept(docs, nothing).count() == docs.count()
+
+
 def test_toxicity(spark, docs, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     sf = "/root/testdata/sf0.1"
-    big = spark.read.parquet(f"{sf}/documents.parquet")
-    model = toxicity.fitted(big, spark.read.parquet(f"{sf}/labels.parquet"))
-    x = toxicity.scored(big, model).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("doc_id", "__score", "toxic").toPandas()
-    x = x[[zlib.crc32(str(i).encode()) % 5 == 0 for i in x.doc_id]]
-    p, n = x[x.toxic == 1]["__score"].to_numpy(), x[x.toxic == 0]["__score"].to_numpy()
-    assert (p[:, None] > n).mean() > 0.93 and (n >= 0.5).mean() < 0.02
-    assert toxicity.scored(docs, model).where("__score between 0 and 1").count() == docs.count()
+    x = toxicity.op2_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()
+    assert (x.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in x.doc_id]).all() and (x.predicted == (x.score >= 0.5)).all() and x.score.between(0, 1).all()
+    x = x[x.held_out]
+    assert (x.predicted[x.toxic == 1] == 1).mean() >= 0.85 and (x.predicted[x.toxic == 0] == 0).mean() >= 0.95
     none = toxicity.fitted(empty, labels.limit(0))
     assert toxicity.scored(empty, none).count() == 0 and toxicity.kept(docs, none).count() == docs.count()
 

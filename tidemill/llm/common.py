@@ -26,6 +26,15 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def free(name: str, *frames: DataFrame) -> str:
+    """A helper column's name that no column of frames has."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    out = f"__{name}"
+    while out.lower() in taken:
+        out += "_"
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share. Only where the cluster names none (tests) a local one is made."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark, "_tidemill_shared", None)

@@ -1,20 +1,25 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-Texts are read as terms (white-space runs; runs of single characters are joined, so "i d i o t" is one term). The kernel of two terms
-is the normalised gap-weighted subsequence kernel of length 3 with decay DECAY over a 64-symbol alphabet with end marks, so an
-inserted or skipped character costs a little and not everything. Landmarks map a term to its Nyström features, K(term, landmarks)
-times the inverse square root of the landmarks' kernel matrix, and a linear SVM on these tells insulting terms from others.
-
-Labels are those of whole texts, so the SVM learns by multiple instances: first witnesses are the terms that mark toxic
-training texts, then each toxic text's highest terms join them. A text's score is a logistic function of its highest terms' margins.
-
-The learner's input is bounded: at most SAMPLE labelled texts, by hash order of doc_id among those whose crc32 mod 5 isn't 0, and
-the terms of the first SENTENCE_TERMS terms of each. Scores read every term of every text. Because the features
-are linear in the kernel, a trained model collapses exactly to one weight for each 3-symbol subsequence (64 ** 3 numbers).
+Texts are read as terms (white-space runs; runs of single characters are joined, so "i d i o t" is one term, and so are the letters of
+"i-d.i*o~t"). The kernel of two terms is the normalised gap-weighted subsequence kernel of length 3 with decay DECAY over a 64-symbol
+alphabet with end marks; by definition its subsequences span at most SPAN symbols. Letters outside the alphabet are one symbol, OTHER.
+Landmarks map a term to its Nyström features, K(term, landmarks) times the inverse square root of the landmarks' kernel matrix, and
+a linear SVM on these tells insulting terms from others.
+
+Labels are those of whole texts, so the SVM learns by multiple instances. Witnesses are chosen by covering: again and again the term
+that stands in most toxic texts that lack DEPTH witnesses yet, among terms that clean texts hardly have; chance terms of copied
+texts never lead, since frequent insults cover those texts first. Toxic texts that the SVM leaves uncovered add their highest term in each round, and
+clean texts' highest terms are the hardest others. Witnesses are also learnt with one character inserted (VARIANTS of each), which
+makes the kernel's tolerance of insertions part of the training. A text's score is a logistic function of its highest terms' margins.
+
+The learner's input is bounded: the whole texts of at most SAMPLE labelled documents, by hash order of doc_id among those whose crc32
+mod 5 isn't 0. Scores read every term of every text. Because the features are linear in the kernel, a trained model collapses
+exactly to one weight for each 3-symbol subsequence (64 ** 3 numbers). Design and constants were chosen by splits of the training fold alone.
 
 Defined results: null and empty texts have no terms and get the score of the lowest margin; terms longer than SLICE are read in
-overlapping slices; repeated rows score alike; without labels of both kinds every score is the prior (0 without labels); an empty
-table gives an empty result.
+overlapping slices; repeated rows score alike; of several labels of one document the highest counts; labels without doc_id or value count as
+none; a null doc_id is scored and is never learnt from; without labels of both kinds every score is the prior (0 without labels); an
+empty table gives an empty result; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -30,15 +35,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import documents, text_of, trim, trimmed
+from tidemill.llm.common import documents, free, text_of, trim, trimmed
 
 SAMPLE = 6000
-SENTENCE_TERMS = 4000
 LANDMARKS = 320
-ROUNDS = 5
+ROUNDS = 4
 WITNESSES = 600
-OTHERS = 2400
+DEPTH = 2  # witnesses that each toxic text should have
+LEAST_COVER = 2  # texts that a witness must cover anew
+LEAST_ODDS = 3.0  # log odds of a witness between toxic and clean texts
+FORMS = 3  # highest terms of a toxic text that may join in a round
+VARIANTS = 3
+OTHERS = 3600
 DECAY = 0.6
+SPAN = 6
 SLICE = 24
 ALPHABET = 64
 REMEMBERED = 150_000  # terms' margins a worker keeps before it starts afresh
@@ -47,6 +57,7 @@ LETTERS = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyzàáâäãçè
 SINGLES = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
 INNER = re.compile(r"[\W_]+")
 EDGES = re.compile(r"^[^\w]+|[^\w]+$")
+INSERTS = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 
 def terms_of(text: str) -> list[str]:
@@ -59,15 +70,20 @@ def terms_of(text: str) -> list[str]:
     for w in words:
         if not w.isalnum():
             w = EDGES.sub("", w)
-            if "-" in w or "." in w or "*" in w or "_" in w:  # also as if nothing stood between the letters
-                out.append(INNER.sub("", w)[:SLICE])
-        if len(w) > SLICE:
-            out += [w[i : i + SLICE] for i in range(0, len(w) - SLICE // 2, SLICE // 2)]
-        elif w:
-            out.append(w)
+            inner = INNER.sub("", w)
+            if inner != w:  # also as if nothing stood between the letters
+                out += sliced(inner)
+        out += sliced(w)
     return out
 
 
+def sliced(term: str) -> list[str]:
+    """term, or the overlapping slices of a long one."""
+    if len(term) <= SLICE:
+        return [term] if term else []
+    return [term[i : i + SLICE] for i in range(0, len(term) - SLICE // 2, SLICE // 2)]
+
+
 def codes(terms: list[str]) -> np.ndarray:
     """Terms of one length as rows of symbols with end marks."""
     return np.array([[START, *[LETTERS.get(c, OTHER) for c in t], END] for t in terms], dtype=np.int32)
@@ -75,7 +91,7 @@ def codes(terms: list[str]) -> np.ndarray:
 
 def triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     i, j, k = (a.ravel() for a in np.meshgrid(*[np.arange(n)] * 3, indexing="ij"))
-    keep = (i < j) & (j < k) & (k - i <= 5)  # longer gaps weigh under DECAY ** 5
+    keep = (i < j) & (j < k) & (k - i < SPAN)
     i, j, k = i[keep], j[keep], k[keep]
     return i, j, k, DECAY ** (k - i - 2.0)
 
@@ -164,12 +180,14 @@ def svm(x: np.ndarray, y: np.ndarray, cost: float = 300.0, steps: int = 800) ->
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Logistic regression by Newton steps; classes weigh the same."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y)
     w = np.zeros(x1.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        h = (x1 * (p * (1 - p))[:, None]).T @ x1 + 1e-3 * np.eye(len(w))
-        w -= np.linalg.solve(h, x1.T @ (p - y) + 1e-3 * w)
+        h = (x1 * (weight * p * (1 - p))[:, None]).T @ x1 + 1e-2 * np.eye(len(w))
+        w -= np.linalg.solve(h, x1.T @ (weight * (p - y)) + 1e-2 * w)
     return w
 
 
@@ -182,8 +200,8 @@ def summary(values: np.ndarray) -> list[float]:
 
 
 def bag(text: str) -> list[str]:
-    """A text's distinct terms among its first SENTENCE_TERMS, in order."""
-    return list(dict.fromkeys(terms_of(text)[:SENTENCE_TERMS]))
+    """A text's distinct terms, in order."""
+    return list(dict.fromkeys(terms_of(text)))
 
 
 def packed(terms: list[str]) -> bytes:
@@ -195,6 +213,33 @@ def unpacked(terms: bytes) -> list[str]:
     return zlib.decompress(terms).decode().split("\n")[:-1]
 
 
+def covering(bags: list[np.ndarray], allowed: np.ndarray) -> list[int]:
+    """Terms, the best first, that cover the bags DEPTH times as far as allowed terms (by index) do; each covers LEAST_COVER bags anew at least."""
+    out: list[int] = []
+    left = [(b, DEPTH) for b in bags if len(b)]
+    while left and len(out) < WITNESSES:
+        n = np.bincount(np.concatenate([b for b, _ in left]), minlength=len(allowed)) * allowed
+        best = int(n.argmax())
+        if n[best] < LEAST_COVER:
+            break
+        out.append(best)
+        allowed = allowed.copy()
+        allowed[best] = False
+        hit = [bool((b == best).any()) for b, _ in left]
+        left = [(b, d - h) for (b, d), h in zip(left, hit, strict=True) if d - h]
+    return out
+
+
+def inserted(term: str) -> list[str]:
+    """VARIANTS of term with one character inserted, the same each time."""
+    out = []
+    for n in range(VARIANTS if len(term) > 2 else 0):
+        h = zlib.crc32(f"{n} {term}".encode())
+        at = 1 + h % (len(term) - 1)
+        out.append(term[:at] + INSERTS[(h >> 8) % len(INSERTS)] + term[at:])
+    return out
+
+
 def train(bags: Iterable[list[str]], labels: list[int]) -> dict:
     """A model of texts' bags: weights of subsequences, bias, and the logistic that turns a text's summary into a score."""
     y = np.array(labels, dtype=float)
@@ -204,39 +249,46 @@ def train(bags: Iterable[list[str]], labels: list[int]) -> dict:
     index: dict[str, int] = {}
     of_bag = [np.unique(np.array([index.setdefault(t, len(index)) for t in terms], dtype=np.int32)) for terms in bags]
     vocabulary = list(index)
-    shown = lambda label: np.bincount(np.concatenate([b for b, x in zip(of_bag, labels, strict=True) if x == label]), minlength=len(vocabulary))
+    texts = lambda label: [b for b, x in zip(of_bag, labels, strict=True) if x == label]
+    shown = lambda label: np.bincount(np.concatenate(texts(label)), minlength=len(vocabulary))
     toxic, clean = shown(1), shown(0)
     odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / (len(y) - y.sum() + 1))
-    ranked = sorted(np.flatnonzero((toxic >= 3) & (odds > 3)).tolist(), key=lambda i: (-odds[i], vocabulary[i]))
-    if not ranked:
-        ranked = sorted(np.flatnonzero(toxic).tolist(), key=lambda i: (-odds[i], vocabulary[i]))[:20]
-    positive = [vocabulary[i] for i in ranked[:WITNESSES]]
+    witnesses = covering(texts(1), odds > LEAST_ODDS)
+    if not witnesses:
+        witnesses = sorted(np.flatnonzero(toxic).tolist(), key=lambda i: (-odds[i], vocabulary[i]))[:20]
+    positive = [vocabulary[i] for i in witnesses]
     # Others: the most frequent terms of clean texts, and as many by hash.
-    calm_ids = np.flatnonzero(clean).tolist()
-    often = sorted(calm_ids, key=lambda i: (-clean[i], vocabulary[i]))[: OTHERS // 2]
-    spread = sorted(set(calm_ids) - set(often), key=lambda i: (zlib.crc32(vocabulary[i].encode()), vocabulary[i]))[: OTHERS // 2]
-    negative = [vocabulary[i] for i in often + spread if vocabulary[i] not in set(positive)]
+    calm = np.flatnonzero(clean)
+    often = sorted(calm.tolist(), key=lambda i: (-clean[i], vocabulary[i]))[: OTHERS // 3]
+    spread = sorted(set(calm.tolist()) - set(often), key=lambda i: (zlib.crc32(vocabulary[i].encode()), vocabulary[i]))[: OTHERS - OTHERS // 3]
+    negative = [vocabulary[i] for i in often + spread]
     hard: list[str] = []
+    weights, bias = np.zeros(ALPHABET**3, np.float32), 0.0
     for _ in range(ROUNDS):
-        calm = [t for t in negative if t not in set(hard) and t not in set(positive)]
-        marks = positive[: LANDMARKS // 2] + hard[: LANDMARKS // 4]
-        marks += calm[:: max(1, len(calm) // max(1, LANDMARKS - len(marks)))][: LANDMARKS - len(marks)]
+        insults = set(positive)
+        more = [t for p in positive for t in inserted(p) if t not in index]
+        others = [t for t in dict.fromkeys(hard + negative) if t not in insults]
+        marks = positive[: LANDMARKS // 2]
+        marks = marks + others[: LANDMARKS - len(marks)]
         space = Space(marks)
         values, vectors = np.linalg.eigh((space.rows @ space.columns).astype(float))
         root = vectors / np.sqrt(np.maximum(values, 1e-6))  # kernel values @ root = Nyström features
-        terms = positive + hard + calm
-        w, bias = svm(space.kernel(terms) @ root, np.array([1.0] * len(positive) + [-1.0] * (len(terms) - len(positive))))
+        w, bias = svm(space.kernel(positive + more + others) @ root, np.array([1.0] * (len(positive) + len(more)) + [-1.0] * len(others)))
         weights = space.weights(root @ w)
         m = margins(vocabulary, weights, bias)
-        # Each toxic text's highest terms are witnesses if clean texts hardly have them; clean texts' highest terms are the hardest others.
-        best = lambda ids, n: ids[np.argsort(-m[ids], kind="stable")[:n]]
-        more = {i for ids, label in zip(of_bag, labels, strict=True) if label for i in best(ids, 1).tolist()}
-        positive = list(dict.fromkeys([*positive, *sorted(vocabulary[i] for i in more if odds[i] > 2)]))
-        worst = {i for ids, label in zip(of_bag, labels, strict=True) if not label for i in best(ids, 3).tolist() if m[i] > -0.3}
-        hard = list(dict.fromkeys([*[vocabulary[i] for i in sorted(worst, key=lambda i: (-m[i], vocabulary[i]))], *hard]))[:OTHERS]
-        hard = [t for t in hard if t not in set(positive)]
-        of = [m[ids] for ids in of_bag]
-    score = logistic(np.array([summary(v) for v in of]), y)
+        # Each toxic text's highest terms are witnesses too, if clean texts hardly have them (the highest one in any case, the others if they
+        # aren't far from insulting), so that other forms of an insult are learnt; clean texts' highest terms are the hardest others.
+        found: set[int] = set()
+        for b in texts(1):
+            top = b[np.argsort(-m[b], kind="stable")[:FORMS]]
+            found.update(top[(m[top] > -0.2) | ((np.arange(len(top)) == 0) & (m[top].max(initial=0) < 0))].tolist())
+        new = sorted(vocabulary[i] for i in found if odds[i] > LEAST_ODDS - 1 and vocabulary[i] not in insults)
+        worst = sorted(calm[m[calm] > -0.5].tolist(), key=lambda i: (-m[i], vocabulary[i]))[:OTHERS]
+        fresh = [vocabulary[i] for i in worst if vocabulary[i] not in insults and vocabulary[i] not in set(hard)]
+        if not new and not fresh:
+            break
+        positive, hard = positive + new, (fresh + hard)[:OTHERS]
+    score = logistic(np.array([summary(m[b]) for b in of_bag]), y)
     return {"weights": weights, "bias": bias, "score": score}
 
 
@@ -252,33 +304,29 @@ def score_texts(model: dict, texts: list[str], known: dict[str, float]) -> list[
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> dict:
-    """The model of at most SAMPLE labelled training texts (the operator's documented bound). Executors cut texts to bags, and one task learns from all bags."""
-    spark = docs.sparkSession
-    train_ids = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0)).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    """The model of at most SAMPLE labelled training texts (the operator's documented bound). Executors cut texts to bags, and one task
+    learns from these; the driver sees the model alone."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 5 != 0))
+    train_ids = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sample = train_ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "text"])
+    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
 
     @F.pandas_udf("binary")
     def bags_of(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: packed(bag(t)))
 
-    got = sorted((r["doc_id"], r["text"], r["bag"], int(r["toxic"])) for r in rows.select("doc_id", F.xxhash64("text").alias("text"), bags_of("text").alias("bag"), "toxic").collect())
-    learnt = spark.sparkContext.broadcast(([bytes(b) for _, _, b, _ in got], [y for *_, y in got]))
-    del got
-
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                bags, y = learnt.value
-                yield pd.DataFrame({"model": [pickle.dumps(train(map(unpacked, bags), y))]})
+        got = {(d, h): (bytes(b), y) for x in batches for d, h, b, y in zip(x["doc_id"], x["text"], x["bag"], x["toxic"], strict=True)}
+        rows = [got[k] for k in sorted(got)]  # repeated rows count once
+        yield pd.DataFrame({"model": [pickle.dumps(train((unpacked(b) for b, _ in rows), [int(y) for _, y in rows]))]})
 
-    model = pickle.loads(spark.range(0, 1, 1, 1).mapInPandas(trimmed(learn), "model binary").collect()[0]["model"])
-    learnt.destroy()
-    return model
+    bags = rows.select("doc_id", F.xxhash64("text").alias("text"), bags_of("text").alias("bag"), "toxic")
+    model = bags.repartition(1).mapInPandas(trimmed(learn), "model binary").collect()
+    return pickle.loads(model[0]["model"]) if model else train([], [])  # without rows there may be no task
 
 
-def scored(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """docs with __score."""
+def scored(docs: DataFrame, model: dict, text: str = "text", name: str = "__score") -> DataFrame:
+    """docs with name, the score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 1 MB
 
     @F.pandas_udf("double")
@@ -292,12 +340,13 @@ def scored(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             known.clear()
             trim()
 
-    return docs.withColumn("__score", score(text_of(text)))
+    return docs.select("*", score(text_of(text)).alias(name))
 
 
-def kept(docs: DataFrame, model: dict) -> DataFrame:
+def kept(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """docs without those scored 0.5 or more."""
-    return scored(docs, model).where(F.col("__score") < 0.5).select([F.col(f"`{c}`") for c in docs.columns])
+    name = free("score", docs)
+    return scored(docs, model, text, name).where(F.col(name) < 0.5).drop(name)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
