@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import functools
 import gc
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 #: A word is a maximal run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,10 +41,14 @@ def free(name: str, *frames: DataFrame) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the cluster names none (tests) a local one is made."""
+    """The folder that driver and executors share. Where the cluster names none, a local one serves a local master only (tests)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark, "_tidemill_shared", None)
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^,\]]*)?\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         found = spark._tidemill_shared = tempfile.mkdtemp(prefix="tidemill-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
     return found
 
 
@@ -48,7 +57,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._tidemill_path = path
+    return out
 
 
 def bucketed(df: DataFrame, key: str, name: str, buckets: int, compression: str = "snappy") -> DataFrame:
@@ -56,7 +67,21 @@ def bucketed(df: DataFrame, key: str, name: str, buckets: int, compression: str
     spark = df.sparkSession
     table = f"tidemill_{name}_{uuid.uuid4().hex}"
     df.write.option("compression", compression).bucketBy(buckets, key).saveAsTable(table, format="parquet")
-    return spark.table(table)
+    out = spark.table(table)
+    out._tidemill_table = table
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Deletes what written() or bucketed() stored. Nothing that is still to be computed may read it."""
+    for df in stored:
+        spark = df.sparkSession
+        if table := getattr(df, "_tidemill_table", None):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        if path := getattr(df, "_tidemill_path", None):
+            jvm = spark.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def swept(spark: SparkSession) -> None:
@@ -128,11 +153,24 @@ def count_kind(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
 
 
-def small(df: DataFrame, limit: int) -> bool:
-    """Whether df has at most limit rows; reads no more than limit + 1."""
-    return df.limit(limit + 1).count() <= limit
+def byte_size(df: DataFrame) -> int:
+    """Bytes that the rows of df take in memory, at least; every string, binary and array counts with its length."""
+
+    def of(c: Column, kind) -> Column:
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)).cast("long") + 16
+        if isinstance(kind, ArrayType):
+            if isinstance(kind.elementType, (StringType, BinaryType, ArrayType, StructType)):
+                return F.coalesce(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + of(x, kind.elementType)), F.lit(0)) + 16
+            return F.coalesce(F.size(c), F.lit(0)).cast("long") * 8 + 16
+        if isinstance(kind, StructType):
+            return reduce(lambda a, f: a + of(c.getField(f.name), f.dataType), kind.fields, F.lit(8).cast("long"))
+        return F.lit(8).cast("long")
+
+    row = reduce(lambda a, f: a + of(F.col(f"`{f.name}`"), f.dataType), df.schema.fields, F.lit(16).cast("long"))
+    return df.agg(F.sum(row)).first()[0] or 0
 
 
-def bounded(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """df with a broadcast hint if it is proven small, else as it is (Spark then shuffles both sides and splits skew)."""
-    return F.broadcast(df) if small(df, limit) else df
+def bounded(df: DataFrame, limit: int = 8_000_000) -> DataFrame:
+    """df with a broadcast hint if its rows take no more than limit bytes, else as it is (Spark then shuffles both sides and splits skew)."""
+    return F.broadcast(df) if byte_size(df) <= limit else df

@@ -5,8 +5,9 @@ differ in at most (a + b) / 7 <= a / 3 shingles. Sets are cut into blocks by has
 differing shingle changes one block at most, so of a document's d + 1 first blocks, d being its largest allowed difference, at least
 one equals a block among the partner's first ones (pigeonhole, with one order of blocks for all). Blocks are made per size band.
 Shingles that very many documents share stand alone, after all blocks, so they are keys only of documents that have little else;
-which shingles those are changes the work and never the result. Candidates pass if the Hamming distance of 4096-bit parity sketches,
-a lower bound of the difference, allows it, and are then verified exactly on the texts.
+which shingles those are changes the work and never the result. Candidates pass if the Hamming distance of parity sketches (two bits or
+more for each shingle, as a power of two; the wider of two is folded), a lower bound of the difference, allows it. They are then verified
+on all shingles of both texts, as 64-bit hashes.
 
 Links are wanted up to connectivity: documents with the same words are one node, each bucket's members are first compared with its
 smallest, and then only members that are still in different components are compared with each other.
@@ -23,15 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import bucketed, documents, partitions, swept, text_of, trimmed, written
+from tidemill.llm.common import bounded, bucketed, discard, documents, partitions, swept, text_of, trimmed, written
 from tidemill.llm.graph import components
 from tidemill.llm.shingles import canonical, common, mixed, shingles
 
 NUMERATOR, DENOMINATOR = 75, 100
-SKETCH = 64  # 64-bit words
+LEAST_SKETCH, MOST_SKETCH = 8, 512  # 64-bit words of a sketch
 RATIO = 4  # of a size band's ends
 SINGLE = 512  # bands from under this size have one shingle to a block
 PLAIN, FEW, MANY = 0, 1, 2  # keys of shingles that aren't frequent; of frequent ones, in sets with few or many others
@@ -95,10 +97,33 @@ def keys(tokens: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> tuple[np.n
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
-    """SKETCH * 64 parity bits: each shingle flips one."""
-    bit = (mixed(tokens + np.uint64(77)) % np.uint64(64 * SKETCH)).astype(np.int64)
-    odd = (np.bincount(bit, minlength=64 * SKETCH) & 1).astype(np.uint64).reshape(SKETCH, 64)
-    return (odd << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64).astype(np.int64)
+    """Parity bits as 64-bit words: each shingle flips one of at least two bits a shingle (within the bounds of a sketch's size)."""
+    words = min(MOST_SKETCH, max(LEAST_SKETCH, 1 << max(0, (len(tokens) - 1) // 32).bit_length()))
+    bit = (mixed(tokens + np.uint64(77)) % np.uint64(64 * words)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=64 * words) & 1).astype(np.uint64).reshape(words, 64)
+    return (odd << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
+
+
+def halved(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows) folded to a smaller width: what they would have been at it."""
+    while sketches.shape[-1] > words:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    words = min(x.shape[-1], y.shape[-1])
+    return np.bitwise_count(halved(x, words) ^ halved(y, words)).sum(-1, dtype=np.int64)
+
+
+def packed(words: bytes) -> bytes:
+    """Words for storage and shuffles; none stay none, and equal words become equal bytes."""
+    return zstandard.ZstdCompressor(level=3, write_checksum=False).compress(words) if words else b""
+
+
+def unpacked(words: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(words) if words else b""
 
 
 def _addressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,7 +134,7 @@ def _addressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
                 words = canonical(text)
                 digest = hashlib.blake2b(words, digest_size=16).digest()
-                rows.append((doc_id, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), words))
+                rows.append((doc_id, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), packed(words)))
             yield pd.DataFrame(rows, columns=["doc_id", "k", "k2", "words"])
 
 
@@ -127,7 +152,7 @@ def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         sizes, sketches = [], []
         for words in b["words"]:
-            s = shingles(words)
+            s = shingles(unpacked(words))
             sizes.append(len(s))
             sketches.append(sketch(s).tobytes())
             parts.append(s)
@@ -148,7 +173,7 @@ def _keys(often):
         for b in batches:
             found, size = [], 0
             for k, text in zip(b["k"], b["words"], strict=True):
-                tokens = shingles(text)
+                tokens = shingles(unpacked(text))
                 if len(tokens):
                     items, kinds = keys(tokens, often.value)
                     found.append((items.astype(np.int64), np.full(len(items), k, np.int64), kinds))
@@ -165,10 +190,9 @@ def _keys(often):
 def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs that the sketches allow: their Hamming distance isn't over the largest difference of a linked pair."""
     for b in batches:
-        if len(b):
-            x, y = (np.frombuffer(b"".join(b[c]), np.uint64).reshape(len(b), SKETCH) for c in ("sketcha", "sketchb"))
-            distance = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-            yield b.loc[distance * 7 <= (b["na"] + b["nb"]).to_numpy(), ["ka", "kb"]]
+        for (wa, wb), part in b.groupby([b["sketcha"].str.len() // 8, b["sketchb"].str.len() // 8]):
+            x, y = (np.frombuffer(b"".join(part[c]), np.uint64).reshape(len(part), w) for c, w in (("sketcha", wa), ("sketchb", wb)))
+            yield part.loc[distances(x, y) * 7 <= (part["na"] + part["nb"]).to_numpy(), ["ka", "kb"]]
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,7 +201,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def of(k: int, text: str) -> np.ndarray:
         if k not in kept:
-            kept[k] = shingles(text)
+            kept[k] = shingles(unpacked(text))
             if len(kept) > 16:
                 kept.popitem(last=False)
         return kept[k]
@@ -192,38 +216,54 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, facts: DataFrame) -> DataFrame:
-    """Of pairs (ka, kb: distinct), those that link. nodes: k, words, bucketed by k; facts: k, n and the sketch."""
+    """Of pairs (ka, kb: distinct), those that link. nodes: k, words, and facts: k, n and the sketch, both bucketed by k."""
     side = lambda x: facts.select(*[F.col(c).alias(f"{c}{x}") for c in facts.columns])
     near = pairs.join(side("a"), "ka").join(side("b"), "kb").where(F.least("na", "nb") * 4 >= F.greatest("na", "nb") * 3)
     near = near.mapInPandas(trimmed(_near), "ka long, kb long")
     near = written(near.select("ka", "kb"), "jaccard-near")
     full = near.join(nodes.select(F.col("k").alias("ka"), F.col("words").alias("words_a")), "ka").join(nodes.select(F.col("k").alias("kb"), F.col("words").alias("words_b")), "kb")
-    return written(full.mapInPandas(trimmed(_verified), "ka long, kb long"), "jaccard-links")
+    found = written(full.mapInPandas(trimmed(_verified), "ka long, kb long"), "jaccard-links")
+    discard(near)
+    return found
 
 
 def _apart(rest: DataFrame, comps: DataFrame, buckets: int) -> DataFrame:
-    """rest (b, k, t, weight: members that haven't met all others), with components, of the buckets that still hold several; bucketed by b."""
+    """rest (b, k, n, t, weight: members that haven't met all others), with components, of the buckets that still hold several; bucketed by b."""
     whole = Window.partitionBy("b")
-    x = rest.join(comps, "k", "left").select("b", "k", "t", "weight", F.coalesce("component", "k").alias("c"))
+    x = rest.join(bounded(comps), "k", "left").select("b", "k", "n", "t", "weight", F.coalesce("component", "k").alias("c"))
     x = x.withColumns({"c1": F.min("c").over(whole), "c2": F.max("c").over(whole), "one": F.min("t").over(whole)})
-    return bucketed(x.where(f"c1 != c2 and one < {MANY}").select("b", "k", "t", "weight", "c"), "b", "jaccard_apart", buckets)
+    return bucketed(x.where(f"c1 != c2 and one < {MANY}").select("b", "k", "n", "t", "weight", "c"), "b", "jaccard_apart", buckets)
+
+
+def _several(buckets: DataFrame) -> DataFrame:
+    """(b, k, size, t): members of buckets that hold several, of which one isn't a MANY key. Keys of frequent shingles may have any number of
+    members: these are counted with partial aggregation, and join their counts, which Spark splits where it is skewed. Plain keys are rare."""
+    whole = Window.partitionBy("b")
+    plain = buckets.where(f"t = {PLAIN}").withColumns({"least": F.min("k").over(whole), "most": F.max("k").over(whole), "size": F.count("*").over(whole)}).where("least != most")
+    hot = buckets.where(f"t != {PLAIN}")
+    counts = hot.groupBy("b").agg(F.min("k").alias("least"), F.max("k").alias("most"), F.min("t").alias("one"), F.count("*").alias("size"))
+    hot = hot.join(counts.where(f"least != most and one < {MANY}").select("b", "size"), "b")
+    return plain.select("b", "k", "size", "t").unionAll(hot.select("b", "k", "size", "t"))
 
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:
     """Of one cell of the grid, the pairs of its two blocks (or within its one) that the sketches allow."""
-    pdf = pdf.sort_values("k")
+    pdf = pdf.assign(w=pdf["sketch"].str.len() // 8).sort_values(["w", "k"])
     first, second = pdf[pdf["chunk"] == pdf["x"]], pdf[pdf["chunk"] == pdf["y"]]
-    sketches = [np.frombuffer(b"".join(p["sketch"]), np.uint64).reshape(len(p), SKETCH) for p in (first, second)]
-    n = [p["n"].to_numpy(np.int64) for p in (first, second)]
-    k = [p["k"].to_numpy(np.int64) for p in (first, second)]
-    c = [p["c"].to_numpy(np.int64) for p in (first, second)]
-    few = [p["t"].to_numpy() < MANY for p in (first, second)]
     out = []
-    for i in range(len(first)):
-        at = np.flatnonzero((c[1] != c[0][i]) & (k[1] != k[0][i]) & (few[1] | few[0][i]) & (4 * np.minimum(n[1], n[0][i]) >= 3 * np.maximum(n[1], n[0][i])))
-        if len(at):
-            distance = np.bitwise_count(sketches[1][at] ^ sketches[0][i]).sum(1, dtype=np.int64)
-            out += [(min(k[0][i], x), max(k[0][i], x)) for x in k[1][at[distance * 7 <= n[1][at] + n[0][i]]]]
+    for w, part in second.groupby("w"):
+        sketches = np.frombuffer(b"".join(part["sketch"]), np.uint64).reshape(len(part), w)
+        folded = {w: sketches}
+        n, k, c, few = part["n"].to_numpy(np.int64), part["k"].to_numpy(np.int64), part["c"].to_numpy(np.int64), part["t"].to_numpy() < MANY
+        for kx, cx, tx, nx, sx in zip(first["k"], first["c"], first["t"], first["n"], first["sketch"], strict=True):
+            at = np.flatnonzero((c != cx) & (k != kx) & (few | (tx < MANY)) & (4 * np.minimum(n, nx) >= 3 * np.maximum(n, nx)))
+            if len(at):
+                own = np.frombuffer(sx, np.uint64)
+                width = min(w, len(own))
+                if width not in folded:
+                    folded[width] = halved(sketches, width)
+                distance = distances(folded[width][at], own)
+                out += [(min(kx, x), max(kx, x)) for x in k[at[distance * 7 <= n[at] + nx]].tolist()]
     return pd.DataFrame(out, columns=["ka", "kb"]).astype("int64").drop_duplicates()
 
 
@@ -235,7 +275,7 @@ def _grid(members: DataFrame, facts: DataFrame) -> DataFrame:
     x = members.groupBy("k", "c").agg(F.min("t").alias("t")).withColumn("__m", F.xxhash64("k", F.lit("member"))).join(group, "__m").drop("__m")
     x = written(x, "jaccard-groups")
     sizes = x.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
-    x = x.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("k"), F.col("chunks")).cast("int")).join(facts, "k")
+    x = x.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("k"), F.col("chunks")).cast("int")).join(facts, "k")  # facts: k, n, sketch
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     x = x.select("component", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "k", "c", "t", "n", "sketch")
     return x.groupBy("component", "x", "y").applyInPandas(_block, "ka long, kb long")
@@ -248,32 +288,32 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     addressed = rows.mapInPandas(trimmed(_addressed), "doc_id long, k long, k2 long, words binary")
     # Documents of the same words collapse before the shuffle: one row of each task for a group of copies.
     grouped = addressed.groupBy("k").agg(F.min("k2").alias("k2"), F.max("k2").alias("other"), F.min("words").alias("words"))
-    nodes = bucketed(grouped, "k", "jaccard", partitions(spark), "zstd")
+    nodes = bucketed(grouped, "k", "jaccard", partitions(spark))
     swept(spark)
     if not nodes.where("k2 != other").isEmpty():
         raise ValueError("two texts share a 64-bit address; another hash is needed")
     nodes = nodes.select("k", "words").where("octet_length(words) > 0")
-    described = written(nodes.mapInPandas(trimmed(_described), "k long, n long, t long, sketch binary"), "jaccard-facts")
+    described = bucketed(nodes.mapInPandas(trimmed(_described), "k long, n long, t long, sketch binary"), "k", "jaccard_facts", partitions(spark))
     facts = described.where("k is not null").select("k", "n", "sketch")
     often = described.where("k is null").groupBy("t").agg(F.sum("n").alias("n"))
     top = often.orderBy(F.desc("n"), "t").limit(OFTEN).toPandas()
     values = top["t"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(values)
     shared = spark.sparkContext.broadcast((values[order], (len(values) - order).astype(np.int64)))
-    buckets = nodes.mapInPandas(trimmed(_keys(shared)), "b long, k long, t byte")
-    whole = Window.partitionBy("b")
-    many = buckets.withColumns({"least": F.min("k").over(whole), "most": F.max("k").over(whole), "n": F.count("*").over(whole), "one": F.min("t").over(whole)})
-    many = written(many.where(f"least != most and one < {MANY}").select("b", "k", "n", "t"), "jaccard-buckets")
+    keyed = nodes.mapInPandas(trimmed(_keys(shared)), "b long, k long, t byte")
+    found = written(_several(keyed), "jaccard-buckets")
     swept(spark)
     # The member that shares most buckets is compared with all others first: the text that others are copies of has no edits of its own.
-    central = many.groupBy("k").agg(F.sum("n").alias("weight"))
+    central = found.groupBy("k").agg(F.sum("size").alias("weight")).join(facts.select("k", "n"), "k")
     # Bucketed by b, they aren't shuffled again in the rounds.
-    parts = min(BUCKETS, max(1, -(-many.count() // ROWS)))
-    many = bucketed(many.join(central, "k").select("b", "k", "t", "weight").repartition(parts, "b"), "b", "jaccard_members", parts)
+    parts = min(BUCKETS, max(1, -(-found.count() // ROWS)))
+    many = bucketed(found.join(central, "k").select("b", "k", "n", "t", "weight").repartition(parts, "b"), "b", "jaccard_members", parts)
+    discard(found)
     links = tried = None
+    near_size = lambda x, y: F.least(x, y) * 4 >= F.greatest(x, y) * 3
     for _ in range(ROUNDS):
-        leader = many.groupBy("b").agg(F.max(F.struct(-F.col("t"), "weight", "k"))["k"].alias("leader"))
-        pairs = many.join(leader, "b").where("k != leader").select(F.least("leader", "k").alias("ka"), F.greatest("leader", "k").alias("kb")).distinct()
+        leader = many.groupBy("b").agg(F.max(F.struct(-F.col("t"), "weight", "k", "n")).alias("leader")).select("b", F.col("leader.k").alias("leader"), F.col("leader.n").alias("leader_n"))
+        pairs = many.join(leader, "b").where("k != leader").where(near_size("n", "leader_n")).select(F.least("leader", "k").alias("ka"), F.greatest("leader", "k").alias("kb")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["ka", "kb"], "left_anti")
         pairs = written(pairs, "jaccard-pairs")
@@ -281,17 +321,19 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         new = verified(pairs, nodes, facts)
         links = new if links is None else links.unionAll(new)
         comps = components(links.select(F.col("ka").alias("u"), F.col("kb").alias("v"))).withColumnRenamed("node", "k")
-        many = _apart(many.join(leader, "b").where("k != leader").select("b", "k", "t", "weight"), comps, parts)
+        before, many = many, _apart(many.join(leader, "b").where("k != leader").select("b", "k", "n", "t", "weight"), comps, parts)
+        discard(before)
         swept(spark)
     # Members of one bucket that are still in different components, and weren't compared yet, meet each other: those of small
     # buckets by a join, of which each row makes SMALL at most, all others in a grid of blocks.
-    large = many.groupBy("b").agg(F.count("*").alias("n"), F.max("t").alias("kind")).where(f"n > {SMALL} or kind != {PLAIN}").select("b")
+    large = many.groupBy("b").agg(F.count("*").alias("size"), F.max("t").alias("kind")).where(f"size > {SMALL} or kind != {PLAIN}").select("b")
     large = written(large, "jaccard-large")
     rest = many.join(large, "b", "left_anti")
-    side = lambda x: rest.select("b", F.col("k").alias(f"k{x}"), F.col("c").alias(f"c{x}"))
-    pairs = side("a").join(side("b"), "b").where("ka < kb and ca != cb").select("ka", "kb").distinct()
-    pairs = pairs.unionAll(_grid(many.join(large, "b"), facts)).distinct().join(tried, ["ka", "kb"], "left_anti")
+    side = lambda x: rest.select("b", F.col("k").alias(f"k{x}"), F.col("c").alias(f"c{x}"), F.col("n").alias(f"n{x}"))
+    pairs = side("a").join(side("b"), "b").where("ka < kb and ca != cb").where(near_size("na", "nb")).select("ka", "kb").distinct()
+    pairs = pairs.unionAll(_grid(many.join(large, "b").select("b", "k", "t", "c"), facts)).distinct().join(tried, ["ka", "kb"], "left_anti")
     more = verified(pairs, nodes, facts)
+    discard(many, large)
     linked = links.unionAll(more)
     # From words to doc_ids: a node's smallest doc_id, then a component's.
     everyone = written(addressed.select("doc_id", "k", (F.octet_length("words") == 0).alias("blank")), "jaccard-members")

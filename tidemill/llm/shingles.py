@@ -13,6 +13,7 @@ import numpy as np
 
 SHINGLE = 5
 LONG_WORD = 500
+PIECE = 1 << 20  # bytes that are hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 _STATE: dict[str, np.ndarray] = {}
 
@@ -55,7 +56,27 @@ def canonical(text: str) -> bytes:
 
 
 def word_hashes(words: bytes) -> np.ndarray:
-    """A hash for each word of a canonical text, in order."""
+    """A hash for each word of a canonical text, in order. Long texts are read in pieces, so that memory is that of a piece."""
+    if len(words) <= PIECE:
+        return _piece_hashes(words)
+    out, lo = [], 0
+    while lo < len(words):
+        hi = len(words) if lo + PIECE >= len(words) else words.rfind(b" ", lo, lo + PIECE)
+        if hi <= lo:  # a word longer than a piece
+            hi = words.find(b" ", lo)
+            hi = len(words) if hi < 0 else hi
+            out.append(np.array([_long_hash(words[lo:hi])], np.uint64))
+        else:
+            out.append(_piece_hashes(words[lo:hi]))
+        lo = hi + 1
+    return np.concatenate(out)
+
+
+def _long_hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def _piece_hashes(words: bytes) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     raw = np.frombuffer(words, np.uint8)
@@ -66,9 +87,8 @@ def word_hashes(words: bytes) -> np.ndarray:
     p, inverse = powers(len(raw))
     h = mixed(np.add.reduceat(coefficients(0)[raw] * p, starts) * inverse[starts])
     lengths = np.diff(starts, append=len(raw) + 1) - 1
-    if lengths.max() > LONG_WORD:
-        for i in np.flatnonzero(lengths > LONG_WORD):
-            h[i] = int.from_bytes(hashlib.blake2b(words[starts[i] : starts[i] + lengths[i]], digest_size=8).digest(), "little")
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        h[i] = _long_hash(words[starts[i] : starts[i] + lengths[i]])
     return h
 
 
