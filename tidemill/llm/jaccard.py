@@ -40,6 +40,7 @@ PLAIN, FEW, MANY = 0, 1, 2  # keys of shingles that aren't frequent; of frequent
 OFTEN_HERE = 3  # of a task's documents: what counts as frequent there
 OFTEN = 400_000  # frequent shingles that are told apart, the most frequent ones (6.4 MB with their ranks)
 BLOCK = 3000  # members that meet as many others in one task
+SALTS = 64  # parts of a frequent shingle's bucket
 SMALL = 8  # members of a bucket that meet by a join
 ROWS, BUCKETS = 150_000, 10_000  # members to a bucket of their tables (some 4 MB), and most buckets; beyond, buckets grow and sorts spill
 ROUNDS = 2  # of comparing each bucket with one of its members
@@ -236,14 +237,19 @@ def _apart(rest: DataFrame, comps: DataFrame, buckets: int) -> DataFrame:
 
 
 def _several(buckets: DataFrame) -> DataFrame:
-    """(b, k, size, t): members of buckets that hold several, of which one isn't a MANY key. Keys of frequent shingles may have any number of
-    members: these are counted with partial aggregation, and join their counts, which Spark splits where it is skewed. Plain keys are rare."""
-    whole = Window.partitionBy("b")
-    plain = buckets.where(f"t = {PLAIN}").withColumns({"least": F.min("k").over(whole), "most": F.max("k").over(whole), "size": F.count("*").over(whole)}).where("least != most")
-    hot = buckets.where(f"t != {PLAIN}")
-    counts = hot.groupBy("b").agg(F.min("k").alias("least"), F.max("k").alias("most"), F.min("t").alias("one"), F.count("*").alias("size"))
-    hot = hot.join(counts.where(f"least != most and one < {MANY}").select("b", "size"), "b")
-    return plain.select("b", "k", "size", "t").unionAll(hot.select("b", "k", "size", "t"))
+    """(b, k, size, t), stored: members of buckets that hold several, of which one isn't a MANY key. Plain keys are rare. Keys of frequent
+    shingles may have any number of members: these are dealt by SALTS, counted in each part, and join their buckets' totals, a join that Spark
+    splits where it is skewed."""
+    part = Window.partitionBy("b", "salt")
+    salted = buckets.withColumn("salt", F.when(F.col("t") == PLAIN, 0).otherwise(F.pmod(F.xxhash64("k"), F.lit(SALTS)).cast("int")))
+    stats = salted.withColumns({"least": F.min("k").over(part), "most": F.max("k").over(part), "size": F.count("*").over(part)})
+    found = written(stats.where(f"t != {PLAIN} or least != most").select("b", "k", "size", "t"), "jaccard-keys")
+    hot = found.where(f"t != {PLAIN}")
+    totals = hot.groupBy("b").agg(F.min("k").alias("least"), F.max("k").alias("most"), F.min("t").alias("one"), F.count("*").alias("size"))
+    totals = totals.where(f"least != most and one < {MANY}").select("b", "size")
+    out = written(found.where(f"t = {PLAIN}").unionAll(hot.drop("size").join(totals, "b").select("b", "k", "size", "t")), "jaccard-buckets")
+    discard(found)
+    return out
 
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -301,7 +307,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     order = np.argsort(values)
     shared = spark.sparkContext.broadcast((values[order], (len(values) - order).astype(np.int64)))
     keyed = nodes.mapInPandas(trimmed(_keys(shared)), "b long, k long, t byte")
-    found = written(_several(keyed), "jaccard-buckets")
+    found = _several(keyed)
     swept(spark)
     # The member that shares most buckets is compared with all others first: the text that others are copies of has no edits of its own.
     central = found.groupBy("k").agg(F.sum("size").alias("weight")).join(facts.select("k", "n"), "k")
