@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -229,6 +230,77 @@ def test_pages_of_copies(spark):
     assert [got[100 + i] for i in range(45)] == [whole(n).split("\n\n", 1)[1] for n in [0] * 40 + [1, 2, 3, 4, 5]]
 
 
+def matched_by_force(a, b):
+    """The largest number of pairs of a top-down, order-keeping alignment, by trying all."""
+    if a.tag != b.tag:
+        return 0
+
+    def best(x, y):
+        return max((best(x[1:], y), best(x, y[1:]), matched_by_force(x[0], y[0]) + best(x[1:], y[1:]))) if x and y else 0
+
+    return 1 + best(tuple(a.children), tuple(b.children))
+
+
+def test_tree_matching():
+    rng = np.random.default_rng(3)
+
+    def tree(depth):
+        n = pages.Node(str(rng.choice(["div", "p", "ul"])), False)
+        n.children = [tree(depth - 1) for _ in range(int(rng.integers(0, 4)))] if depth else []
+        for c in n.children:
+            c.parent = n
+        return n
+
+    for _ in range(60):
+        a, b = pages.Node("#", False), pages.Node("#", False)
+        a.children, b.children = [tree(2) for _ in range(3)], [tree(2) for _ in range(3)]
+        for r in (a, b):
+            for c in r.children:
+                c.parent = r
+            pages.numbered(r)
+        to = pages.aligned(a, b)
+        assert len(to) == matched_by_force(a, b) == len(set(to.values()))
+
+
+def test_pages_deep_wide_and_broken():
+    deep = "<div>" * 5000 + "deep" + "</div>" * 5000
+    wide = "<ul>" + "".join(f"<li><p>item {i}</p></li>" for i in range(20_000)) + "</ul>"
+    for page, want in ((deep, ["deep"]), (wide, [f"item {i}" for i in range(20_000)])):
+        ref = pages.parse(page)[0]
+        pages.numbered(ref)
+        found = pages.slots(page, ref)
+        assert [t for t, *_ in found] == want and all(node >= 0 for _, node, *_ in found)
+    assert len(pages.parse('<p a="' * 20_000)[1]) <= 1 and [t for _, t in pages.parse('<p>x</p><a title="never>y')[1]] == ["x", "y"]
+    own = "<article><header><h1>Own</h1></header><div class='post-header'><h2>Two</h2></div><p>t</p></article>"
+    assert [t for t, _, _, ok, main in pages.slots(f"<header>site</header>{own}", None) if ok and main] == ["Own", "Two", "t"]
+
+
+def test_pages_by_the_wrapper_alone(spark):
+    """A site of plain divs without telling names: menus, adverts and notices vary, some are constant."""
+    page = lambda i: f"<body><div><ul><li>menu {i % 7}</li><li>about us</li></ul></div><div>buy {i}!</div><div><div><h1>Head {i}</h1>{''.join(f'<p>Paragraph {j} of text number {i}, long enough to be read.</p>' for j in range(1 + i % 5))}<div>Printed by us</div></div></div><div><div>seen {i * 3}</div><div>imprint</div></div></body>"
+    want = lambda i: "\n\n".join([f"Head {i}", *[f"Paragraph {j} of text number {i}, long enough to be read." for j in range(1 + i % 5)]])
+    rows = [(i, "http://plain.example.org/a", page(i), "x", 2, "y") for i in range(25)] + [(3, "http://plain.example.org/a", page(3), None, None, None), (99, "http://alone.example.org", "<p>alone</p>", "x", 1, "y")]
+    x = spark.createDataFrame(rows, "page_id long, url string, html string, host string, slots int, __text string").repartition(3)
+    for names in (True, False):
+        out = pages.extracted(x, names=names)
+        assert out.columns == ["page_id", "url", "host", "slots", "__text", "__text_"] and out.count() == 27
+        assert all(r["__text_"] == ("alone" if r["page_id"] == 99 else want(r["page_id"])) for r in out.collect())
+
+
+def test_pages_query(spark):
+    """The wrapper alone finds what names find on the given pages, wherever a host has enough of them."""
+    sf = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf}/pages.parquet")
+    got = {r["page_id"]: r for r in pages.op4_pages(spark, sf).collect()}
+    articles = {r["page_id"]: r["html"] for r in table.collect()}
+    for i, html in articles.items():
+        blocks = [t for t, _, _, ok, main in pages.slots(html or "", None) if ok and main]
+        assert got[i]["text"] == "\n\n".join(blocks) and got[i]["n_chars"] == len(got[i]["text"])
+    alone = {r["page_id"]: r["__text"] for r in pages.extracted(table, names=False).collect()}
+    many = {r["page_id"] for r in table.withColumn("host", pages.host_of()).withColumn("n", F.count("*").over(Window.partitionBy("host"))).where("n >= 8").collect()}
+    assert sum(alone[i] == got[i]["text"] for i in many) > 0.95 * len(many)
+
+
 def test_secrets(spark, docs, empty):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     for table in (docs, real(spark)):
