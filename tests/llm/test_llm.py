@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemill.llm import bpe, fingerprint, jaccard, mixing, pages, pii, quality, secrets, suffix, toxicity
+from tidemill.llm.common import written
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,16 +48,20 @@ def plain(df):
     return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
 
 
-def test_pii_base(spark, docs, empty):
+def pii_rules():
     def luhn(d):
         return sum(int(c) if i % 2 == 0 else (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)[int(c)] for i, c in enumerate(reversed(d))) % 10 == 0
 
-    rules = [
+    return [
         ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
         ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v: all(int(p) <= 255 for p in v.split("."))),
         ("card", r"[0-9]([\x20-]?[0-9])+", lambda v: 12 <= len(re.sub("[^0-9]", "", v)) <= 19 and luhn(re.sub("[^0-9]", "", v))),
         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda v: 9 <= len(re.sub("[^0-9]", "", v)) <= 15),
     ]
+
+
+def test_pii_base(spark, docs, empty):
+    rules = pii_rules()
     for table in (docs, real(spark)):
         got = [(r["text"] or "", [(s["start"], s["rank"], s["end"]) for s in r["__base"]]) for r in pii.annotate(table.select("doc_id", "text")).collect()]
         for text, found in got:
@@ -67,24 +72,89 @@ def test_pii_base(spark, docs, empty):
     assert clean.where("text like '%555-3824%' or text like '%4111%'").count() == 0
 
 
-def test_pii_terms(spark):
-    texts = [f"number {i} filler{i} Zarathustra zed@mail.example.com then{i} other{i}" for i in range(6)] + [f"plain number then other filler {i}" for i in range(50)]
-    texts += [f"with{i} mail m{i}@x.example.com in{i}" for i in range(40)]
-    x = pii.annotate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    terms = {s["value"] for r in x.collect() for s in r["__spans"] if s["kind"] == "term"}
-    assert terms == {"zarathustra"}
-
-
 def pii_texts():
+    """Six contexts of one name beside an address, another address without company, cards announced by "karte", and plain text."""
     texts = [f"number {i} filler{i} Zarathustra zed@mail.example.com then{i} other{i}" for i in range(6)] + [f"plain number then other filler {i}" for i in range(50)]
-    return texts + [f"with{i} mail m{i}@x.example.com in{i}" for i in range(40)]
-
-
-def test_pii_terms_of_copies(spark):
+    texts += [f"with{i} mail m{i}@x.example.com in{i}" for i in range(40)] + [f"a{i} b{i} karte 4111 1111 1111 1111 c{i}" for i in range(4)] + [f"karte word{i}" for i in range(6)]
+    return texts + ["Far away stood Zarathustra, and no address.", None, "", "Zarathustra"]
+
+
+def disclosing_by_force(texts):
+    """(entity, term): the definition, by counting. Words here are letters and digits, as patterns cut them."""
+    rules = pii_rules()
+    space, near, contexts = Counter(), defaultdict(set), defaultdict(set)
+    sites = defaultdict(set)
+    for n, t in enumerate(sorted(set(x or "" for x in texts))):
+        base = sorted((m.start(), i, m.end(), m.group()) for i, (_, p, ok) in enumerate(rules) for m in re.finditer(p, t) if ok(m.group()))
+        shown = list(t)
+        for a, _, e, _ in base:
+            shown[a:e] = " " * (e - a)
+        shown = "".join(shown)
+        words = list(re.finditer(r"[^\W\d_]+", shown))
+        space.update(m.group().lower() for m in words)
+        for a, i, e, v in base:
+            kind = rules[i][0]
+            value = v.lower() if kind == "email" else v if kind == "ip" else re.sub("[^0-9]", "", v)
+            names = [kind, f"{kind}:{value}"] + ([f"email:@{v.lower().split('@')[1]}"] if kind == "email" else [])
+            beside = [m for m in words if m.end() <= a and m.start() >= a - 64][-3:] + [m for m in words if m.start() >= e and m.end() <= e + 64][:3]
+            for m in beside:
+                for name in names:
+                    near[name, m.group().lower()].add((n, m.start()))
+                    contexts[name, m.group().lower()].add((shown[max(0, a - 64) : a], shown[e : e + 64]))
+                    sites[name].add((n, m.start()))
+    everything = sum(space.values())
+    return {(e, w) for (e, w), at in near.items() if len(contexts[e, w]) >= pii.SUPPORT and len(at) / space[w] >= (len(sites[e]) / everything) ** (1 - pii.DISCLOSURE)}
+
+
+def test_pii_terms(spark, monkeypatch):
     texts = pii_texts()
-    x = pii.annotate(spark.createDataFrame(list(enumerate(texts + texts[:1] * 20)), "doc_id long, text string").repartition(3))
-    got = {r["doc_id"]: {s["value"] for s in r["__spans"] if s["kind"] == "term"} for r in x.collect()}
-    assert all(got[i] == ({"zarathustra"} if i < 6 or i >= len(texts) else set()) for i in got) and len(got) == len(texts) + 20
+    for rows in (texts, texts + texts[:1] * 20):  # copies change nothing
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+        found = found_of(docs)
+        near = pii.contexts(found.where(F.size("__base") > 0)).distinct()
+        want = disclosing_by_force(rows)
+        assert {(r[0], r[1]) for r in pii.disclosing(found, near).collect()} == want and ("email:zed@mail.example.com", "zarathustra") in want
+        terms = {w for _, w in want}
+        for r in pii.annotate(docs).collect():
+            t = r["text"] or ""
+            base = [(s["start"], s["end"]) for s in r["__base"]]
+            places = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", t) if m.group().lower() in terms and not any(a < m.end() and m.start() < e for a, e in base)]
+            assert [(s["start"], s["end"]) for s in r["__spans"] if s["kind"] == "term"] == places
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert clean[len(texts) - 4] == "Far away stood [TERM], and no address." and clean[0] == "number 0 filler0 [TERM] [EMAIL] then0 other0" and clean[len(texts) - 3] is None
+    found = lambda: {w for _, w in ((r[0], r[1]) for r in pii.disclosing(plain_found, plain_near).collect())}
+    plain_found, plain_near = written(found_of(docs), "test"), None
+    plain_near = written(pii.contexts(plain_found.where(F.size("__base") > 0)).distinct(), "test")
+    usual = found()
+    monkeypatch.setattr(pii, "SUPPORT", 7)
+    assert "zarathustra" in usual > found()
+    monkeypatch.setattr(pii, "SUPPORT", 3)
+    monkeypatch.setattr(pii, "DISCLOSURE", 0.3)
+    assert found() > usual  # "karte" announces 4 cards among 10 places
+
+
+def found_of(docs):
+    return docs.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("__row"), F.coalesce("text", F.lit("")).alias("__text")).withColumn("__base", pii.base_spans(F.col("__text")))
+
+
+def test_pii_of_many_spans_and_clashing_names(spark):
+    many = " ".join(f"m{i}@x{i}.example.com +1 (743) 555-{i:04d}" for i in range(4000))
+    x = spark.createDataFrame([(1, many, "a", 1), (2, "a.b@c.example.org4111111111111111", "b", 2), (None, None, None, None)], "doc_id long, text string, __row string, __spans int")
+    out = pii.sanitise(x)
+    assert out.columns == x.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[1]["text"] == " ".join(["[EMAIL] [PHONE]"] * 4000) and got[1]["__row"] == "a" and got[2]["text"] == "[EMAIL]" and got[2]["__spans"] == 2 and got[None]["text"] is None
+    assert pii.annotate(x).columns == ["doc_id", "text", "__row", "__spans", "__base", "__spans_"]
+
+
+def test_pii_query(spark):
+    texts = dict(plain(real(spark)))
+    for r in pii.op1_pii(spark, SF).collect():
+        t = texts[r["doc_id"]]
+        base = sorted((m.start(), i, m.end()) for i, (_, p, ok) in enumerate(pii_rules()) for m in re.finditer(p, t) if ok(m.group()))
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{pii.KINDS[i]}:{a}:{e}" for a, i, e in base).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(i == n for _, i, _ in base) for n in range(4)]
+        assert [x for x in r["spans"].split(",") if x and not x.startswith("term:")] == [f"{pii.KINDS[i]}:{a}:{e}" for a, i, e in base]
 
 
 def toxic_rows():

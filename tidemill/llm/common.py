@@ -123,23 +123,47 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def running(xs: Column, zero: Column, op) -> Column:
+    """For each item, op over all items before it: in blocks of about the root of their number, so long arrays don't take quadratic time."""
+    fold = lambda part: F.aggregate(part, zero, op)
+
+    def blocks(items: Column) -> Column:
+        def within(width: Column) -> Column:
+            heads = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / width).cast("int")), lambda n: fold(F.slice(items, n * width + 1, width)))
+            before = let(heads, lambda h: F.transform(h, lambda _, n: fold(F.slice(h, F.lit(1), n))))
+
+            def at(base: Column) -> Column:
+                def one(_: Column, i: Column) -> Column:
+                    n = F.floor(i / width).cast("int")
+                    return op(base[n], fold(F.slice(items, n * width + 1, i - n * width)))
+
+                return F.transform(items, one)
+
+            return let(before, at)
+
+        return let(F.ceil(F.sqrt(F.size(items).cast("double"))).cast("int"), within)
+
+    return let(xs, lambda items: F.when(F.size(items) > 0, blocks(items)).otherwise(F.transform(items, lambda _: zero)))
+
+
 def spans(text: Column, regex: str, kind: str, rank: int, ok=None) -> Column:
     """The matches of a Java regex (leftmost, not overlapping) that pass ok, as array<SPAN> in code points. text must be a plain column."""
     none = F.array().cast(f"array<{SPAN}>")
 
     def place(found: Column) -> Column:
-        gaps = F.slice(F.split(text, regex, -1), F.lit(1), F.size(found))
-        first = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + x["gap"]
-            end = start + F.length(x["value"])
-            span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
-            keep = F.array(span) if ok is None else F.when(ok(x["value"]), F.array(span)).otherwise(none)
-            return F.struct(end.alias("at"), F.concat(acc["out"], keep).alias("out"))
-
-        pairs = F.zip_with(found, gaps, lambda v, g: F.struct(v.alias("value"), F.length(g).alias("gap")))
-        return F.aggregate(pairs, first, step, lambda acc: acc["out"])
+        def with_gaps(gaps: Column) -> Column:
+            def with_before(before: Column) -> Column:
+                def span(v: Column, i: Column) -> Column:
+                    start = before[i] + F.length(gaps[i])
+                    return F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(v)).alias("end"), F.lit(kind).alias("kind"), v.alias("value"))
+
+                return F.transform(found, span)
+
+            steps = F.zip_with(gaps, found, lambda g, v: F.length(g) + F.length(v))
+            return let(running(steps, F.lit(0), lambda x, y: x + y), with_before)
+
+        every = let(F.slice(F.split(text, regex, -1), F.lit(1), F.size(found)), with_gaps)
+        return every if ok is None else F.filter(every, lambda s: ok(s["value"]))
 
     return let(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), lambda m: F.when(F.size(m) > 0, place(m)).otherwise(none))
 

@@ -1,9 +1,11 @@
 """Information-theoretic sanitisation of personal data (native: DataFrame functions only).
 
-Base entities (email, ip, card, phone) are found by pattern and always protected. Around each, the terms of a context window are
-counted over the whole corpus: a term t discloses an entity e when seeing t makes e so likely that most of e's information content
-is given away, PMI(e;t) >= DISCLOSURE * IC(e), with p(e|t) >= LEAST_GIVEN and at least SUPPORT different contexts (copies of one
-passage are one context). p(e|t) is t's places near e over all its places, both over different texts and outside base entities. Such terms are generalised inside the contexts of e.
+Base spans (email, ip, card, phone) are found by pattern and always protected. What they may be known by are entities: the value itself, an
+email's domain, and the kind. Around each span, the terms of a context window are counted over the whole corpus. All probabilities are
+over one space, the term places of different texts outside base spans: p(t) is term t's share of the places, p(e) that of the places near
+entity e, p(e, t) that of t's places near e. A term discloses e when it gives away most of e's information content,
+PMI(e; t) >= DISCLOSURE * IC(e) with IC(e) = -log2 p(e), that is p(e given t) >= p(e) ** (1 - DISCLOSURE), in at least SUPPORT different
+contexts (copies of one passage are one context). Such terms are generalised to [TERM] at all their places in all texts.
 
 Defined results: a null text is the empty text; empty texts have no spans; repeated rows are treated alike; an empty table gives an
 empty result; other columns, whatever their names, are left alone.
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import bounded, count_kind, documents, rendered, spans, written
+from tidemill.llm.common import bounded, count_kind, documents, free, let, rendered, running, spans, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each is the contract's pattern, anchored where a run begins (or the last match ended) and possessive, so that Java needs linear
@@ -28,10 +30,10 @@ OCTET = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}+"
 
 CONTEXT = 64  # code points on either side
+CHUNK = 1024
 WINDOW = 3  # terms on either side
 SUPPORT = 3
 DISCLOSURE = 0.8
-LEAST_GIVEN = 0.5
 
 
 def digits(value: Column) -> Column:
@@ -57,99 +59,138 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(email, ip, card, phone))
 
 
-def entity(s: Column) -> Column:
-    return F.concat(s["kind"], F.lit(":"), F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"]).otherwise(digits(s["value"])))
+def entities(s: Column) -> Column:
+    """What a base span may be known by: its value, an email's domain, its kind."""
+    value = F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"]).otherwise(digits(s["value"]))
+    of = lambda v: F.concat(s["kind"], F.lit(":"), v)
+    domain = F.array(of(F.concat(F.lit("@"), F.lower(F.substring_index(s["value"], "@", -1)))))
+    return F.concat(F.array(s["kind"], of(value)), F.when(s["kind"] == "email", domain).otherwise(F.array().cast("array<string>")))
 
 
-def outside(s: Column, base: Column) -> Column:
-    """Whether span s overlaps no base span."""
-    return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+def chunked(text: Column) -> Column:
+    """text in chunks of CHUNK code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
 
 
-def contexts(found: DataFrame, text: str = "__text", base: str = "__base") -> DataFrame:
-    """One row for each base span: its entity, a hash of its context, and the spans of the terms near it."""
-    x = found.where(F.size(base) > 0).select("__row", text, F.col(base).alias("__all"), F.explode(base).alias("__s"))
-    x = x.select("__row", entity(F.col("__s")).alias("__entity"), F.col("__s.start").alias("__a"), F.col("__s.end").alias("__b"), text, "__all")
-    from_ = F.greatest(F.col("__a") - CONTEXT, F.lit(0))
-    x = x.select(
-        "__row", "__entity", "__a", "__b", from_.alias("__from"),
-        F.substring(text, from_ + 1, F.col("__a") - from_).alias("__left"), F.substring(F.col(text), F.col("__b") + 1, F.lit(CONTEXT)).alias("__right"),
-        ((from_ > 0) & F.substring(text, F.greatest(from_, F.lit(1)), F.lit(1)).rlike(TERM)).alias("__cut_left"), F.substring(F.col(text), F.col("__b") + CONTEXT + 1, F.lit(1)).rlike(TERM).alias("__cut_right"), "__all",
-    )
-    left = F.slice(F.reverse(spans(F.col("__left"), TERM, "term", 4)), 1, WINDOW)
-    right = F.slice(spans(F.col("__right"), TERM, "term", 4), 1, WINDOW)
-    moved = lambda xs, by: F.transform(xs, lambda s: F.struct((s["start"] + by).alias("start"), s["rank"].alias("rank"), (s["end"] + by).alias("end"), s["kind"].alias("kind"), F.lower(s["value"]).alias("value")))
-    # What the context's ends cut isn't a term, and what is part of an entity is replaced with it.
-    near_left = F.filter(moved(left, F.col("__from")), lambda s: ~(F.col("__cut_left") & (s["start"] == F.col("__from"))) & outside(s, F.col("__all")))
-    near_right = F.filter(moved(right, F.col("__b")), lambda s: ~(F.col("__cut_right") & (s["end"] == F.col("__b") + CONTEXT)) & outside(s, F.col("__all")))
-    return x.select("__row", "__entity", F.xxhash64("__left", "__right").alias("__context"), F.concat(near_left, near_right).alias("__terms"))
+def piece(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points start to end of a chunked text; a long text isn't read from its start each time."""
+    first = F.floor(start / CHUNK).cast("int")
+    some = F.array_join(F.slice(chunks, first + 1, F.floor(end / CHUNK).cast("int") - first + 1), "")
+    return F.substring(some, start - first * CHUNK + 1, end - start)
+
+
+def replaced(text: Column, found: Column, by) -> Column:
+    """text with each span (overlapping ones joined) replaced by by(its first span, its length)."""
+    ends = running(F.transform(found, lambda s: s["end"]), F.lit(0), lambda x, y: F.greatest(x, y))
+
+    def whole(chunks: Column) -> Column:
+        def joined(groups: Column) -> Column:
+            end = F.array_max(F.transform(found, lambda s: s["end"]))
+            until = lambda i: F.coalesce(F.get(groups, i + 1)["e"], end)
+            pieces = F.transform(groups, lambda x, i: F.concat(piece(chunks, x["e"], x["s"]["start"]), by(x["s"], until(i) - x["s"]["start"])))
+            return F.concat(F.array_join(pieces, ""), F.substring(text, end + 1, F.length(text)))
+
+        # A span that begins before an earlier one ends is part of that one.
+        return let(F.filter(F.zip_with(found, ends, lambda s, e: F.struct(s.alias("s"), e.alias("e"))), lambda x: x["s"]["start"] >= x["e"]), joined)
+
+    return let(chunked(text), whole)
+
+
+def masked(text: Column, base: Column) -> Column:
+    """text with blanks for what base spans cover; places stay."""
+    return F.when(F.size(base) > 0, replaced(text, base, lambda _, n: F.repeat(F.lit(" "), n))).otherwise(text)
 
 
-def places(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(__row, __at, __term): the places of terms (__term) outside base spans, in different texts. found has __row, __text and __base."""
-    text = F.when(F.size("__base") > 0, replaced(F.col("__text"), F.col("__base"), lambda s: F.lit(" "))).otherwise(F.col("__text"))
-    x = found.select("__row", F.posexplode(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))).alias("__at", "__term")).withColumn("__term", F.lower("__term"))
-    return x.join(bounded(terms), "__term", "left_semi").select("__row", "__at", "__term").distinct()
+def terms(text: Column, base: Column) -> Column:
+    """The lower-case terms outside base spans, in order."""
+    return F.transform(F.regexp_extract_all(masked(text, base), F.lit(TERM), F.lit(0)), F.lower)
+
+
+def contexts(found: DataFrame) -> DataFrame:
+    """One row for each base span: its entities, a hash of its context (without base spans), and the spans of the terms near it. found: __row, __text, __base."""
+    x = found.select("__row", "__base", F.length("__text").alias("__n"), chunked(masked(F.col("__text"), F.col("__base"))).alias("__chunks"))
+
+    def around(s: Column) -> Column:
+        from_, to = F.greatest(s["start"] - CONTEXT, F.lit(0)), F.least(s["end"] + CONTEXT, F.col("__n"))
+        cut = piece(F.col("__chunks"), F.greatest(from_ - 1, F.lit(0)), from_), piece(F.col("__chunks"), to, F.least(to + 1, F.col("__n")))
+        window = piece(F.col("__chunks"), from_, s["start"]), piece(F.col("__chunks"), s["end"], to)
+        return F.struct(
+            entities(s).alias("entities"), s["end"].alias("end"), from_.alias("from"), to.alias("to"), window[0].alias("left"), window[1].alias("right"),
+            cut[0].rlike(TERM).alias("cut_left"), cut[1].rlike(TERM).alias("cut_right"),
+        )
+
+    x = x.select("__row", F.explode(F.transform("__base", around)).alias("c")).select("__row", "c.*")
+    moved = lambda xs, by: F.transform(xs, lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), F.lower(s["value"]).alias("value")))
+    # What the context's ends cut isn't a term.
+    left = F.filter(moved(F.slice(F.reverse(spans(F.col("left"), TERM, "term", 4)), 1, WINDOW), F.col("from")), lambda s: ~(F.col("cut_left") & (s["start"] == F.col("from"))))
+    right = F.filter(moved(F.slice(spans(F.col("right"), TERM, "term", 4), 1, WINDOW), F.col("end")), lambda s: ~(F.col("cut_right") & (s["end"] == F.col("to"))))
+    return x.select("__row", F.col("entities").alias("__entities"), F.xxhash64("left", "right").alias("__context"), F.concat(left, right).alias("__terms"))
 
 
 def disclosing(found: DataFrame, near: DataFrame) -> DataFrame:
-    """(__entity, __term) pairs over the thresholds. found has __row, __text and __base, near comes from contexts()."""
-    seen = near.select("__entity", "__context", F.explode("__terms.value").alias("__term")).distinct()
-    support = seen.groupBy("__entity", "__term").agg(F.count("*").alias("n_contexts")).where(F.col("n_contexts") >= SUPPORT)
-    close = near.select("__row", "__entity", F.explode("__terms").alias("__t")).select("__row", "__entity", F.col("__t.start").alias("__at"), F.col("__t.value").alias("__term"))
-    pairs = close.distinct().groupBy("__entity", "__term").agg(F.count("*").alias("n_pair")).join(support, ["__entity", "__term"], "left_semi")
-    # A term's places near any entity are some of its places; pairs that fail LEAST_GIVEN by these alone need no corpus count.
-    least = close.select("__row", "__at", "__term").distinct().groupBy("__term").agg(F.count("*").alias("n_near"))
-    pairs = pairs.join(least, "__term").where(F.col("n_pair") >= LEAST_GIVEN * F.col("n_near")).drop("n_near")
+    """(__entity, __term, given, least) of the pairs over the thresholds. found has __row, __text and __base, near comes from contexts()."""
+    # Rows of one text weigh 1 together, so sums of weights are numbers of different texts' places.
+    copies = written(found.groupBy("__row").agg(F.count("*").alias("__n")).where("__n > 1"), "pii-copies")
+    weighed = found.join(bounded(copies), "__row", "left").withColumn("__weight", 1 / F.coalesce("__n", F.lit(1)))
+    outside_base = F.regexp_count(masked(F.col("__text"), F.col("__base")), F.lit(TERM))
+    n_all = F.round(F.sum(F.col("__weight") * outside_base)).alias("n_all")
+    close = near.select("__row", "__entities", "__context", F.explode("__terms").alias("__t"))
+    close = close.select("__row", F.explode("__entities").alias("__entity"), "__context", F.col("__t.start").alias("__at"), F.col("__t.value").alias("__term"))
+    support = close.select("__entity", "__context", "__term").distinct().groupBy("__entity", "__term").agg(F.count("*").alias("n_contexts")).where(F.col("n_contexts") >= SUPPORT)
+    sites = written(close.select("__row", "__at", "__entity", "__term").distinct(), "pii-places")
+    pairs = sites.groupBy("__entity", "__term").agg(F.count("*").alias("n_pair")).join(support, ["__entity", "__term"], "left_semi")
+    known = sites.groupBy("__entity").agg(F.count("*").alias("n_entity")).crossJoin(F.broadcast(weighed.agg(n_all)))  # one row
+    known = written(known.select("__entity", F.pow(F.col("n_entity") / F.col("n_all"), 1 - DISCLOSURE).alias("least")), "pii-entities")
+    # A term's places near any entity are some of its places; pairs that fail by these alone need no corpus count.
+    some = sites.select("__row", "__at", "__term").distinct().groupBy("__term").agg(F.count("*").alias("n_near"))
+    pairs = pairs.join(known, "__entity").join(some, "__term").where(F.col("n_pair") >= F.col("least") * F.col("n_near")).drop("n_near")
     pairs = written(pairs, "pii-pairs")
-    entities = near.select("__entity", "__context").distinct().groupBy("__entity").agg(F.count("*").alias("n_entity"))
-    total = entities.agg(F.sum("n_entity").alias("n_all"))
-    counts = places(found, pairs.select("__term").distinct()).groupBy("__term").agg(F.count("*").alias("n_term"))
-    scored = pairs.join(entities, "__entity").join(counts, "__term").crossJoin(F.broadcast(total))  # total is one row
-    given, p = F.col("n_pair") / F.col("n_term"), F.col("n_entity") / F.col("n_all")
-    return scored.where((given >= LEAST_GIVEN) & (F.log2(given / p) >= DISCLOSURE * -F.log2(p))).select("__entity", "__term")
+    sought = bounded(pairs.select("__term").distinct())
+    everywhere = weighed.select("__weight", F.explode(terms(F.col("__text"), F.col("__base"))).alias("__term")).join(sought, "__term", "left_semi")
+    counts = everywhere.groupBy("__term").agg(F.round(F.sum("__weight")).alias("n_term"))
+    scored = pairs.join(counts, "__term").withColumn("given", F.col("n_pair") / F.col("n_term"))
+    return scored.where("given >= least").select("__entity", "__term", "given", "least")
 
 
-def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with __row (its content's hash), __text, __base and __spans (base spans and disclosing terms, by start)."""
-    found = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+def _annotated(docs: DataFrame, text: str) -> DataFrame:
+    """own (all columns), __text, __base and __spans (base spans and disclosing terms, by start)."""
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     found = found.withColumns({"__base": base_spans(F.col("__text")), "__row": F.sha2("__text", 256)})
-    # What has no entity needs no key, and what has none of the same text twice needs only one context row.
-    near = written(contexts(found.where(F.size("__base") > 0).select("__row", "__text", "__base")).distinct(), "pii-contexts")
-    pairs = written(disclosing(found.select("__row", "__text", "__base"), near), "pii-disclosing")
-    flagged = near.select("__row", "__entity", F.explode("__terms").alias("__t")).withColumn("__term", F.col("__t.value"))
-    flagged = flagged.join(bounded(pairs), ["__entity", "__term"], "left_semi").groupBy("__row").agg(F.collect_set("__t").alias("__more"))
-    flagged = written(flagged, "pii-flagged")  # a few terms for each text that has an entity
-    out = found.join(bounded(flagged), "__row", "left")
-    return out.withColumn("__spans", F.sort_array(F.when(F.col("__more").isNull(), F.col("__base")).otherwise(F.concat("__base", "__more")))).drop("__more")
+    light = found.select("__row", "__text", "__base")
+    # What has no entity needs no context, and what has none of the same text twice needs only one context row.
+    near = written(contexts(light.where(F.size("__base") > 0)).distinct(), "pii-contexts")
+    pairs = written(disclosing(light, near), "pii-disclosing")
+    # The texts that have such terms, anywhere, and which.
+    sought = bounded(pairs.select("__term").distinct())
+    hits = light.select("__row", F.explode(F.array_distinct(terms(F.col("__text"), F.col("__base")))).alias("__term")).join(sought, "__term", "left_semi")
+    hits = written(hits.groupBy("__row").agg(F.collect_set("__term").alias("__hits")), "pii-hits")
+    out = found.join(bounded(hits), "__row", "left")
+    out = out.withColumn("__masked", F.when(F.col("__hits").isNotNull(), masked(F.col("__text"), F.col("__base"))))
+    shown = F.filter(spans(F.col("__masked"), TERM, "term", 4), lambda s: F.array_contains("__hits", F.lower(s["value"])))
+    more = F.transform(shown, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), F.lower(s["value"]).alias("value")))
+    return out.withColumn("__spans", F.when(F.col("__hits").isNull(), F.col("__base")).otherwise(F.sort_array(F.concat("__base", more))))
 
 
-def replaced(text: Column, found: Column, by) -> Column:
-    """text with each span (overlapping ones joined) replaced by by(span)."""
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), by(s))
-        return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(s["end"].alias("at"), more.alias("out")))
-
-    return F.aggregate(found, first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with __base (base spans) and __spans (base spans and disclosing terms, by start); names that docs has get a "_" more."""
+    return _annotated(docs, text).select("own.*", F.col("__base").alias(free("base", docs)), F.col("__spans").alias(free("spans", docs)))
 
 
 def sanitised(text: Column, found: Column) -> Column:
     """text with entities removed as [KIND] and terms generalised as [TERM]."""
-    return replaced(text, found, lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+    return replaced(text, found, lambda s, _: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with text sanitised; all other columns, and rows, as they are. A null text stays null."""
-    out = annotate(docs, text)
-    clean = F.when(F.size("__spans") > 0, sanitised(F.col("__text"), F.col("__spans"))).otherwise(F.col(text))
-    return out.select([clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    out = _annotated(docs, text)
+    clean = F.when(F.size("__spans") > 0, sanitised(F.col("__text"), F.col("__spans"))).otherwise(F.col("own").getField(text))
+    return out.select([clean.alias(c) if c == text else F.col("own").getField(c).alias(c) for c in docs.columns])
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = annotate(documents(spark, sf_dir).select("doc_id", "text"))
+    found = _annotated(documents(spark, sf_dir).select("doc_id", "text"), "text")
     return found.select(
-        "doc_id", *[count_kind(F.col("__base"), k).alias(f"n_{k}") for k in KINDS], F.sha2(rendered(F.col("__base")), 256).alias("base_sha256"),
+        "own.doc_id", *[count_kind(F.col("__base"), k).alias(f"n_{k}") for k in KINDS], F.sha2(rendered(F.col("__base")), 256).alias("base_sha256"),
         rendered(F.col("__spans")).alias("spans"), count_kind(F.col("__spans"), "term").alias("n_term"),
     )
