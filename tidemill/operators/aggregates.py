@@ -48,7 +48,9 @@ def customer_value(sales: DataFrame, customers: DataFrame, top_n: int | None = T
     x = by_customer(sales)
     if top_n is not None:
         x = x.orderBy(F.desc("r"), "customer_id").limit(top_n)
-    x = x.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("r"), "customer_id")).cast("bigint"))
+        x = x.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("r"), "customer_id")).cast("bigint"))  # over top_n rows
+    else:
+        x = ranked(x, "r", "customer_id")
     dim = customers.groupBy("customer_id").agg(F.max("tier").alias("tier"), F.max("city").alias("city"))
     x = x.join(dim, "customer_id", "left")
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)

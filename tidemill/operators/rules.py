@@ -8,7 +8,7 @@ frequent key is no task's burden.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,7 +59,6 @@ class Checked:
     outlier: Rule | None = None
     bounds: DataFrame | None = None
     line: Column | None = None
-    extra: dict = field(default_factory=dict)
 
     @property
     def bad_mask(self) -> Column:
@@ -170,7 +169,7 @@ def check(df: DataFrame, rules: list[Rule], references: dict[str, DataFrame] | N
     return Checked(x, columns, own, masks, flag, outlier, None, line)
 
 
-def summary(stats: list[DataFrame], quarantined: DataFrame | None = None) -> DataFrame:
+def summary(stats: list[DataFrame]) -> DataFrame:
     """One row: dq_score (passed / checked to four places, 1 if nothing was checked) and totals over datasets' stats."""
     every = reduce(DataFrame.unionByName, stats)
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)

@@ -6,6 +6,7 @@ deterministic defects of eight kinds, defined by one list of expressions that bo
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 from tidemill.functions import parsing as P
 from tidemill.operators import aggregates as A
 from tidemill.operators import clean as C
-from tidemill.operators.rules import Rule, check, summary
+from tidemill.operators.rules import REASONS, Rule, check, summary
+from tidemill.plans import monitor
+from tidemill.plans.batch import Batch
+from tidemill.plans.config import Config
 from tidemill.sources import generator
-from tidemill.sources.snapshots import SnapshotTable, scratch
+from tidemill.sources.snapshots import Files, SnapshotTable, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -322,27 +326,162 @@ def snapshot_list(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "number int, operation string, parent bigint, rows bigint")
 
 
-# Operations over batches' metrics, which a range stands for.
+# Whole batches over a source that is written from the driver's tables with defects of its own; one run serves all queries of a session.
+RAW_ORDERS = {
+    "order_id": "concat('ORD-', lpad(cast(o_orderkey as {text}), 8, '0'))",
+    "customer_id": "case when o_orderkey % 100 = 17 then 'none' when o_orderkey % 50 = 9 then '' else cast(o_custkey as {text}) end",
+    "product_id": "cast(o_orderkey % 90 + 1 as {text})",
+    "order_date": "case o_orderkey % 200 when 13 then 'not-a-date' when 14 then '2127-13-01' else {day} end",
+    "region": "case when o_orderkey % 50 = 21 then '' else concat('R', cast(o_custkey % 5 as {text})) end",
+    "channel": "case when o_orderkey % 100 = 11 then 'phone' when o_orderkey % 50 = 7 then '  ' when o_orderkey % 3 = 0 then 'web' when o_orderkey % 3 = 1 then 'app' else 'store' end",
+    "quantity": "case o_orderkey % 200 when 3 then '-3' when 5 then '' when 9 then '5.5' else cast(o_orderkey % 20 + 1 as {text}) end",
+    "unit_price": "case when o_orderkey % 200 = 4 then 'abc' when o_orderkey % 500 = 23 then '90,000.5' else cast(o_orderkey % 1000 + 5 as {text}) end",
+    "status": "case when o_orderkey % 100 = 33 then 'shipped' else 'completed' end",
+}
+RAW_RULES = {
+    "orders": (
+        *[Rule("completeness", c) for c in ("order_id", "customer_id", "quantity")], Rule("uniqueness", "order_id"), Rule("range", "quantity", 1, 1000), Rule("range", "unit_price", 0.01, 100_000),
+        Rule("allowed_values", "status", values=("completed",)), Rule("allowed_values", "channel", values=("web", "app", "store")), Rule("format", "order_id", pattern=r"ORD-\d{8}$"),
+        Rule("date_valid", "order_date", "1992-01-01", "2099-12-31"), Rule("referential", "customer_id", reference=("customers", "customer_id")), Rule("outlier", "total_amount", factor=3.0),
+    ),
+    "customers": (Rule("completeness", "customer_id"), Rule("uniqueness", "customer_id")),
+    "products": (Rule("completeness", "product_id"), Rule("range", "cost", 0, 100_000)),
+}
+TODAY = "1998-12-31"
+
+
+def _raw_sql() -> str:
+    cols = ", ".join(f"{e.format(text='varchar', day="strftime(o_orderdate, '%Y-%m-%d')")} as {c}" for c, e in RAW_ORDERS.items())
+    return f"raw as (select {cols}, row_number() over (order by copy, o_orderkey) - 1 as line from (select *, 0 as copy from orders union all select *, 1 from orders where o_orderkey % 100 = 19))"
+
+
+def _ran(spark: SparkSession, sf: str, mode: str = "") -> tuple[Batch, dict]:
+    """The batch over sf's raw orders and its manifest. In high_watermark mode, a first batch up to WATERMARK came before."""
+    runs = spark.__dict__.setdefault("_tidemill_runs", {})
+    if (sf, mode) in runs:
+        return runs[sf, mode]
+    root = scratch(spark, "batches")
+    cols = [F.expr(e.format(text="string", day="date_format(o_orderdate, 'yyyy-MM-dd')")).alias(c) for c, e in RAW_ORDERS.items()]
+    o = table(spark, sf, "orders")
+    raw = o.withColumn("copy", F.lit(0)).unionAll(o.where("o_orderkey % 100 = 19").withColumn("copy", F.lit(1))).orderBy("copy", "o_orderkey").select(*cols)
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    c.select(F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_mktsegment").alias("tier"), F.col("n_name").alias("city")).write.parquet(f"{root}/in/customers")
+    table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("category"), F.col("p_retailprice").cast("string").alias("cost")).write.parquet(f"{root}/in/products")
+    sources = {n: f"{root}/in/{n}" for n in ("orders", "customers", "products")}
+    config = Config(root=f"{root}/run", sources=sources, rules=RAW_RULES, mode=mode)
+    if mode:
+        raw.where(F.col("order_date") <= WATERMARK).write.parquet(sources["orders"])
+        Batch(spark, config, "B-1", WATERMARK).run()
+    raw.write.mode("overwrite").parquet(sources["orders"])
+    b = Batch(spark, config, "B-2" if mode else "B-1", TODAY)
+    runs[sf, mode] = b, b.run()
+    return runs[sf, mode]
+
+
+def _mask_sql() -> list[tuple[str, str]]:
+    """(reason, DuckDB predicate) of RAW_RULES' orders, in order."""
+    q, p = NUM.format(c="quantity"), NUM.format(c="unit_price")
+    blank = lambda c: f"coalesce(trim({c}) = '', true)"
+    day = "coalesce(try_strptime(trim(order_date), '%Y-%m-%d'), null)"
+    return [
+        *[(f"missing_required:{c}", blank(c)) for c in ("order_id", "customer_id", "quantity")], ("duplicate_key:order_id", "row_number() over (partition by order_id order by line) > 1"),
+        ("range_violation:quantity", f"coalesce(not ({q} between 1 and 1000), true)"), ("range_violation:unit_price", f"coalesce(not ({p} between 0.01 and 100000), true)"),
+        ("invalid_value:status", f"not {blank('status')} and status <> 'completed'"), ("invalid_value:channel", f"not {blank('channel')} and channel not in ('web', 'app', 'store')"),
+        ("format_violation:order_id", "not regexp_matches(order_id, '^ORD-[0-9]{8}$')"), ("invalid_date:order_date", f"coalesce(not ({day} between timestamp '1992-01-01' and timestamp '2099-12-31'), true)"),
+        ("orphan_reference:customer_id", f"not {blank('customer_id')} and customer_id not in (select cast(c_custkey as varchar) from customer)"),
+    ]
+
+
+def _run_sql() -> str:
+    """CTEs: raw, marked, good, bounds, clean (as after the clean stage)."""
+    masks = ", ".join(f"{m} as m{i}" for i, (_, m) in enumerate(_mask_sql()))
+    bad = " or ".join(f"m{i}" for i in range(len(_mask_sql())))
+    q, p = NUM.format(c="quantity"), NUM.format(c="unit_price")
+    strict = f"(case when {q} = floor({q}) then cast({q} as bigint) end)"
+    return (
+        f"{_raw_sql()}, marked as (select *, {masks}, floor(cast({strict} as double) * {p} * 100 + 0.5) / 100 as pre from raw), good as (select * from marked where not ({bad})), "
+        "b as (select quantile_cont(pre, 0.25) as q1, quantile_cont(pre, 0.75) as q3 from marked), "
+        f"clean as (select order_id, customer_id, product_id, order_date, coalesce(nullif(trim(region), ''), 'unknown') as region, coalesce(nullif(trim(channel), ''), 'unknown') as channel, quantity, unit_price, status, "
+        f"coalesce({strict}, 0) as units, floor(coalesce(cast({strict} as double), 0) * coalesce({p}, 0) * 1 * 100 + 0.5) / 100 as total_amount, "
+        "case when pre < q1 - 3.0 * (q3 - q1) or pre > q3 + 3.0 * (q3 - q1) then '1' else '0' end as is_anomaly from good, b)"
+    )
+
+
+_CENTS = "cast((2 * cast(r * 100 as bigint) + n) // (2 * n) as double) / 100"
+_CLEAN_DAILY = "daily as (select order_date, count(*) as n, cast(sum(units) as bigint) as units, sum(cast(total_amount as decimal(20,2))) as r from clean group by 1)"
+_REASONS = "concat_ws(';', " + ", ".join(f"case when m{i} then '{r}' end" for i, (r, _) in enumerate(_mask_sql())) + ")"
+
+
+def _run_query(name: str, stage: str, part: str, oracle: str, mode: str = "") -> None:
+    @query(name, f"with {_run_sql()}, {_CLEAN_DAILY} {oracle}")
+    def one(spark: SparkSession, sf: str) -> DataFrame:
+        batch, m = _ran(spark, sf, mode)
+        return batch.read(m, stage, part)
+
+
+_run_query("run_ingest", "ingest", "orders", f"select {', '.join(RAW_ORDERS)}, cast(line as bigint) as _row from raw")
+_run_query("run_valid", "validate", "valid_orders", f"select {', '.join(RAW_ORDERS)}, cast(line as bigint) as _row from good")
+_run_query("run_quarantine", "validate", "quarantine_orders", f"select {', '.join(RAW_ORDERS)}, {_REASONS} as _reasons, cast(line + 2 as bigint) as _line from marked where {_REASONS} <> ''")
+_run_query("run_clean", "clean", "orders", "select * exclude (units) from clean")
+_run_query("run_daily_sales", "compute", "daily_sales", f"select order_date, n as orders, units, cast(r as double) as revenue, {_CENTS} as avg_order_value from daily")
+_run_query("run_kpi", "compute", "kpi", f"select orders, units, total_revenue, avg_order_value, days, currency from (select cast(sum(n) as bigint) as orders, cast(sum(units) as bigint) as units, cast(sum(r) as double) as total_revenue, cast((2 * cast(sum(r) * 100 as bigint) + sum(n)) // (2 * sum(n)) as double) / 100 as avg_order_value, count(*) as days, 'CNY' as currency from daily)")
+_run_query("run_region_channel", "compute", "region_channel_stats", "select region, channel, count(*) as orders, cast(sum(cast(total_amount as decimal(20,2))) as double) as revenue from clean group by 1, 2")
+_run_query("run_category", "compute", "category_stats", "select category, cast(count(*) as bigint) as orders, cast(sum(units) as bigint) as units, cast(sum(cast(total_amount as decimal(20,2))) as double) as revenue, floor(cast(sum(cast(total_amount as decimal(20,2))) as double) / cast((select sum(r) from daily) as double) * 10000 + 0.5) / 10000 as revenue_share from (select coalesce(nullif(trim(p_brand), ''), '未知') as category, clean.* from clean left join part on product_id = cast(p_partkey as varchar)) group by 1")
+_run_query("run_customer_tier", "compute", "customer_tier", "select tier, count(*) as customers, cast(sum(r) as double) as revenue from (select coalesce(nullif(trim(c_mktsegment), ''), 'unknown') as tier, customer_id, sum(cast(total_amount as decimal(20,2))) as r from clean left join customer on customer_id = cast(c_custkey as varchar) group by 1, 2) group by 1")
+_run_query("run_customer_value", "compute", "customer_value", "select customer_id, coalesce(c_mktsegment, '') as tier, coalesce(n_name, '') as city, v.orders, cast(r as double) as revenue, cast(rank as bigint) as rank from (select *, row_number() over (order by r desc, customer_id) as rank from (select customer_id, count(*) as orders, sum(cast(total_amount as decimal(20,2))) as r from clean group by 1)) v left join customer on customer_id = cast(c_custkey as varchar) left join nation on c_nationkey = n_nationkey where rank <= 20")
+_run_query("run_output", "output", "orders_final", "select * exclude (units), 'B-1' as _batch_id, 'orders' as _source_file from clean")
+_run_query("run_delta", "ingest", "orders", f"select {', '.join(RAW_ORDERS)}, cast(line as bigint) as _row from raw where order_date > (select max(order_date) from good where order_date <= '{WATERMARK}')", "high_watermark")
+
+
+@query("run_quality", f"with {_run_sql()} select 'orders' as dataset, split_part(reason, ':', 1) as reason, split_part(reason, ':', 2) as column_name, checked, failed from (select count(*) as checked, {', '.join(f'count(*) filter (m{i}) as f{i}' for i in range(len(_mask_sql())))} from marked), unnest([{', '.join(f"{{'reason': '{r}', 'failed': f{i}}}" for i, (r, _) in enumerate(_mask_sql()))}]) as t(x), lateral (select x.reason as reason, x.failed as failed)")
+def run_quality(spark: SparkSession, sf: str) -> DataFrame:
+    batch, m = _ran(spark, sf)
+    reasons = F.create_map(*[F.lit(x) for kv in REASONS.items() for x in kv])
+    x = batch.read(m, "validate", "rule_stats").where("dataset = 'orders' and rule != 'outlier'")
+    return x.select("dataset", reasons[F.col("rule")].alias("reason"), "column_name", "checked", "failed")
+
+
+@query("run_state_daily", f"with {_run_sql()}, {_CLEAN_DAILY} select order_date, n as orders, units, cast(r as double) as revenue, {_CENTS} as avg_order_value from daily")
+def run_state_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """History and delta, merged in the state by two incremental batches, equal one full batch."""
+    batch, _ = _ran(spark, sf, "high_watermark")
+    return batch.state.aggregate("daily_sales")
+
+
+@query("run_state_tier", f"with {_run_sql()} select tier, count(*) as customers, cast(sum(r) as double) as revenue from (select coalesce(nullif(trim(c_mktsegment), ''), 'unknown') as tier, customer_id, sum(cast(total_amount as decimal(20,2))) as r from clean left join customer on customer_id = cast(c_custkey as varchar) group by 1, 2) group by 1")
+def run_state_tier(spark: SparkSession, sf: str) -> DataFrame:
+    batch, _ = _ran(spark, sf, "high_watermark")
+    return batch.state.aggregate("customer_tier")
+
+
+@query("run_watermark", f"with {_run_sql()} select 'orders' as dataset, max(order_date) as watermark from good where order_date <= '{TODAY}'")
+def run_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    batch, _ = _ran(spark, sf, "high_watermark")
+    return spark.createDataFrame(list(batch.state.load()["watermarks"].items()), "dataset string, watermark string")
+
+
+# Operations over batches' metrics files: a folder of 60 batches, written as batches write theirs.
 _BATCHES = "select id as batch, case when id % 7 = 3 then 'failed' else 'success' end as status, (900 + id * 37 % 100) / 1000.0 as dq_score, cast(id * 13 % 400 as double) as seconds from range(60)"
 _BATCHES_DUCK = _BATCHES.replace("select id", "select range").replace("when id", "when range").replace(" id ", " range ").replace("(id ", "(range ").replace("+ id", "+ range")
 
 
 def batches(spark: SparkSession) -> DataFrame:
-    return spark.sql(_BATCHES).withColumn("dq_score", F.col("dq_score").cast("double"))
+    root = scratch(spark, "metrics")
+    put = Files(spark, root)
+    for i in range(60):
+        status = "failed" if i % 7 == 3 else "success"
+        put.replace(f"{root}/B-{i:03d}/metrics.json", json.dumps({"batch": str(i), "status": status, "dq_score": (900 + i * 37 % 100) / 1000, "seconds": float(i * 13 % 400), "finished_ms": i, "stages": []}))
+    return monitor.batches(spark, root)
 
 
-@query("batch_stats", f"with b as ({_BATCHES_DUCK}) select count(*) as total, count(*) filter (status = 'success') as success, count(*) filter (status = 'failed') as failed, min(cast(dq_score as double) * 100) as min_dq, max(cast(dq_score as double) * 100) as max_dq from b")
+@query("batch_stats", f"with b as ({_BATCHES_DUCK}) select count(*) as total, count(*) filter (status = 'success') as success, count(*) filter (status = 'failed') as failed, floor(avg(cast(dq_score as double) * 100) * 10000 + 0.5) / 10000 as avg_dq, min(cast(dq_score as double) * 100) as min_dq, max(cast(dq_score as double) * 100) as max_dq from b")
 def batch_stats(spark: SparkSession, sf: str) -> DataFrame:
-    score = P.percent(F.col("dq_score"))
-    n = lambda s: F.sum(F.when(F.col("status") == s, 1).otherwise(0)).cast("bigint")
-    return batches(spark).agg(F.count("*").alias("total"), n("success").alias("success"), n("failed").alias("failed"), F.min(score).alias("min_dq"), F.max(score).alias("max_dq"))
+    return monitor.statistics(batches(spark))
 
 
-@query("alerts", f"with b as ({_BATCHES_DUCK}) select batch, concat_ws(';', case when cast(dq_score as double) < 0.95 then 'dq_score' end, case when seconds > 300 then 'duration' end, case when status = 'failed' then 'status' end) as alert from b where cast(dq_score as double) < 0.95 or seconds > 300 or status = 'failed'")
+@query("alerts", f"with b as ({_BATCHES_DUCK}) select cast(batch as varchar) as batch, concat_ws(';', case when cast(dq_score as double) < 0.95 then 'dq_score' end, case when seconds > 300 then 'duration' end, case when status = 'failed' then 'status' end) as alert from b where cast(dq_score as double) < 0.95 or seconds > 300 or status = 'failed'")
 def alerts(spark: SparkSession, sf: str) -> DataFrame:
-    low, slow, failed = F.col("dq_score") < 0.95, F.col("seconds") > 300, F.col("status") == "failed"
-    x = batches(spark).where(low | slow | failed)
-    return x.select("batch", F.concat_ws(";", F.when(low, "dq_score"), F.when(slow, "duration"), F.when(failed, "status")).alias("alert"))
+    return monitor.alerts(batches(spark))
 
 
 @query("synthetic_orders")

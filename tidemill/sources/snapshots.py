@@ -8,6 +8,8 @@ reads will do.
 from __future__ import annotations
 
 import json
+import os
+import re
 import tempfile
 import time
 import uuid
@@ -17,9 +19,11 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one (spark.checkpoint.dir); a local one only where none is set."""
+    """A new folder in the shared one (spark.checkpoint.dir). Where none is set, a local one serves a local master only."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark, "_tidemill_scratch", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^,\]]*)?\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = spark._tidemill_scratch = tempfile.mkdtemp(prefix="tidemill-")
     return f"{root}/tidemill/{name}-{uuid.uuid4().hex}"
 
@@ -45,18 +49,42 @@ class Files:
         finally:
             stream.close()
 
-    def commit(self, path: str, text: str) -> bool:
-        """Writes path as a whole, if no other writer has; False if one has."""
-        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
-        stream = self.fs.create(self.path(tmp), True)
+    def _put(self, path: str, text: str) -> None:
+        stream = self.fs.create(self.path(path), True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        if self.exists(path):
+
+    def commit(self, path: str, text: str) -> bool:
+        """Writes path as a whole, if no other writer has; False if one has. On local disks a link decides, on distributed file systems their
+        rename, which never replaces a file; a plain object store needs a log store that offers as much."""
+        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+        self._put(tmp, text)
+        if self.fs.getScheme() == "file":
+            here, there = (self.path(p).toUri().getPath() for p in (tmp, path))
+            try:
+                os.link(here, there)
+                return True
+            except FileExistsError:
+                return False
+            finally:
+                self.fs.delete(self.path(tmp), False)
+        done = not self.exists(path) and self.fs.rename(self.path(tmp), self.path(path))
+        if not done:
             self.fs.delete(self.path(tmp), False)
-            return False
-        return self.fs.rename(self.path(tmp), self.path(path))
+        return done
+
+    def replace(self, path: str, text: str) -> None:
+        """Writes path as a whole, in place of what stands there."""
+        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+        self._put(tmp, text)
+        if self.fs.getScheme() == "file":
+            os.replace(*(self.path(p).toUri().getPath() for p in (tmp, path)))
+            return
+        self.fs.delete(self.path(path), False)
+        if not self.fs.rename(self.path(tmp), self.path(path)):
+            raise OSError(f"{path} couldn't be replaced")
 
 
 class SnapshotTable:
@@ -117,8 +145,18 @@ class SnapshotTable:
         s = self._at(snapshot_id)
         return self._read(s["data"] if s else [], [])
 
+    def appends(self, start: str | None = None, end: str | None = None) -> list[dict]:
+        """The append snapshots after start up to end (default: now), oldest first."""
+        after = self._at(start)["sequence"] if start else 0
+        to = self._at(end)
+        return [s for s in self.snapshots() if s["operation"] == "append" and after < s["sequence"] <= (to["sequence"] if to else 0)]
+
     def diff(self, start: str | None = None, end: str | None = None) -> DataFrame:
-        """What was appended after start up to end (default: now); from None, everything."""
+        """What was appended after start up to end (default: now); from None, everything that the table has at end. Rows of an overwrite aren't appended."""
         to = self._at(end)
-        have = set(self._at(start)["data"]) if start else set()
-        return self._read([d for d in (to["data"] if to else []) if d not in have], to["data"] if to else [])
+        data = (to["data"] if to else []) if start is None else [s["data"][-1] for s in self.appends(start, end)]
+        return self._read(data, to["data"] if to else [])
+
+    def added_rows(self, start: str | None = None, end: str | None = None) -> int:
+        """How many rows were appended after start up to end, by the log alone."""
+        return sum(s["summary"]["added_rows"] for s in self.appends(start, end))
