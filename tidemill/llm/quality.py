@@ -5,7 +5,7 @@ documents of that language by Jensen-Shannon distance (base 2). The references a
 LEAST_CHARS characters, or LEAST_WORDS words, the histogram is too small to judge and that comparison passes.
 
 Defined results: a null text has no words (base_failed); a null language is a language of its own; repeated rows are judged alike;
-an empty table gives an empty result. A language's reference is at most CLASSES plus COMMON numbers; references are a table with a
+an empty table gives an empty result; a column of docs that has the name of a result column is replaced by it, all others are left alone. A language's reference is at most CLASSES plus COMMON numbers; references are a table with a
 row for each language, joined by language, so there may be any number of them.
 """
 
@@ -19,12 +19,12 @@ from tidemill.llm.common import WORD, bounded, documents, let, written
 CLASSES = ("upper", "lower", "digit", "symbol", "mark", "space", "other")
 SYMBOLS = r"[#*$%&|<>]"
 COMMON = 20
-MAX_BROADCAST = 20_000  # references that are broadcast; more of them are joined by shuffle
 LEAST_CHARS = 200
 LEAST_WORDS = 80
 MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.30
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+RESULTS = (*BASE, "class_distance", "word_distance", "base_failed", "kept")
 
 
 def total(xs: Column, kind: str = "bigint") -> Column:
@@ -111,16 +111,17 @@ def common_hits() -> Column:
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None) -> DataFrame:
     """The carried columns of docs (all, if none are named) with the base columns, class_distance, word_distance, base_failed and kept."""
     refs = references(docs, text, lang)
-    x = docs.withColumn("__g", F.coalesce(F.col(lang), F.lit(""))).join(bounded(refs.select("__g", "__common"), MAX_BROADCAST), "__g", "left")
+    docs = docs.drop(*[c for c in docs.columns if c in RESULTS and c not in (text, lang)])
+    x = docs.withColumn("__g", F.coalesce(F.col(lang), F.lit(""))).join(bounded(refs.select("__g", "__common")), "__g", "left")
     x = measured(x, text, lang)
-    carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
+    carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry) if c not in RESULTS]
     # Texts are read once for all measures; what follows works on a few numbers for each document.
     x = written(x.select(*carried, *BASE, "__g", "__classes", common_hits().alias("__hits")), "quality-measures")
     sums = x.groupBy("__g").agg(*[F.sum(F.col("__classes")[i]).alias(c) for i, c in enumerate(CLASSES)])
     n_all = F.greatest(F.lit(1), total(F.array(*CLASSES)))
     pooled = sums.select("__g", F.array(*[F.col(c) / n_all for c in CLASSES]).alias("__class_shares"))
     shares = written(pooled.join(refs.select("__g", "__word_shares"), "__g", "left"), "quality-shares")
-    x = x.join(bounded(shares, MAX_BROADCAST), "__g")
+    x = x.join(bounded(shares), "__g")
     n_chars, n = total(F.col("__classes")), F.col("n_words")
     class_d = jsd(F.transform("__classes", lambda v: v / n_chars), F.col("__class_shares"))
     word_d = jsd(F.concat(F.transform("__hits", lambda h: h / n), F.array((n - total(F.col("__hits"))) / n)), F.col("__word_shares"))
