@@ -56,10 +56,18 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
 
 
 def fragment_hashes(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of raw[s:e] for each s and e (fragments are under 200 bytes)."""
-    inverse = powers(len(raw) + 1)[1][s]
+    """Two 64-bit hashes of raw[s:e] for each s and e (fragments are under 200 bytes). Prefix sums are those of a piece of the text at a time."""
+    out = np.zeros(len(s), np.int64), np.zeros(len(s), np.int64)
     length = (e - s).astype(np.uint64)
-    return tuple(mixed((t[e] - t[s]) * inverse + length).astype(np.int64) for t in (prefix_sums(raw, 2), prefix_sums(raw, 3)))
+    for lo in range(0, len(raw), PIECE):
+        at = np.flatnonzero((s >= lo) & (s < lo + PIECE))
+        if len(at):
+            piece = raw[lo : lo + PIECE + 256]
+            inverse = powers(len(piece) + 1)[1][s[at] - lo]
+            for h, which in zip(out, (2, 3), strict=True):
+                t = prefix_sums(piece, which)
+                h[at] = mixed((t[e[at] - lo] - t[s[at] - lo]) * inverse + length[at]).astype(np.int64)
+    return out
 
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
