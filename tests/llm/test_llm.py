@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import bpe, fingerprint, jaccard, mixing, pages, pii, quality, secrets, suffix, toxicity
+from tidemill.llm import bpe, fingerprint, jaccard, mixing, pages, pii, quality, secrets, shingles, suffix, toxicity
 from tidemill.llm.common import written
 
 SF = "/root/testdata/sf0.001"
@@ -458,6 +459,46 @@ def test_fingerprints_part_where_digests_clash(spark, monkeypatch):
     assert got[1] == got[3] and len(set(got.values())) == 3
 
 
+def test_fingerprint_query_where_digests_clash(spark, monkeypatch):
+    """Repeated rows and rows without doc_id stay as they are, and equal fingerprints mean equal canonical forms."""
+    monkeypatch.setattr(fingerprint, "digest", lambda c: F.substring(c, 1, 1))
+    rows = [(1, "ab cd"), (1, "ab cd"), (2, "ac zz"), (None, "ab CD"), (3, "b"), (4, None)]
+    got = fingerprint.compared(spark.createDataFrame(rows, "doc_id long, text string").withColumn("text", F.coalesce("text", F.lit(""))), 4).collect()
+    assert sorted((r["doc_id"] or 0) for r in got) == [0, 1, 1, 2, 3, 4]
+    of = defaultdict(set)
+    for r in got:
+        of[r["doc_id"]].add(r["fingerprint"])
+    assert of[1] == of[None] and len(of[1]) == 1 and len(of[1] | of[2] | of[3] | of[4]) == 4
+
+
+def test_fingerprint_likeness(spark):
+    rows = sorted(plain(real(spark)))
+    canon = lambda t: re.sub(r"[\s\x85]+", " ", unicodedata.normalize("NFKC", t).lower()).strip()
+    x = {r["doc_id"]: r for r in fingerprint.op8_fingerprint(spark, SF).collect()}
+    for (i, t), (j, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        edited = t[: len(t) - len(t) // 4] + after[: len(t) // 4]
+        assert x[i]["near_edited"] == float(canon(t) == canon(edited)) and x[i]["near_next"] == float(canon(t) == canon(after))
+        assert (x[i]["fingerprint"] == x[j]["fingerprint"]) == (canon(t) == canon(after))
+
+
+def test_quality_of_clashing_names(spark):
+    x = spark.createDataFrame([(1, "some words " * 40, "en", 7, True, "z")], "doc_id long, text string, lang string, n_words int, kept boolean, __g string")
+    r = quality.judged(x.select("doc_id", "text", "lang", "n_words", "kept")).first()
+    assert r["n_words"] == 80 and r["kept"] is False and r["doc_id"] == 1
+
+
+def test_suffix_hashes_do_not_depend_on_pieces(monkeypatch):
+    raw = np.random.default_rng(1).integers(0, 256, 5000).astype(np.uint8)
+    s = np.arange(0, 4800, 7)
+    want = suffix.fragment_hashes(raw, s, s + 150)
+    monkeypatch.setattr(suffix, "PIECE", 600)
+    assert all((a == b).all() for a, b in zip(suffix.fragment_hashes(raw, s, s + 150), want, strict=True))
+    words = b" ".join(b"w%d" % (i % 977) for i in range(3000)) + b" " + b"x" * 900 + b" end"
+    whole = shingles.word_hashes(words)
+    monkeypatch.setattr(shingles, "PIECE", 700)
+    assert (shingles.word_hashes(words) == whole).all()
+
+
 def test_quality(spark, docs, empty):
     for table in (docs, real(spark)):
         for r in quality.judged(table).collect():

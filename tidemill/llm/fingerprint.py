@@ -87,24 +87,31 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return x.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__t_fp").alias("fingerprint"))
 
 
-def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", text_of().alias("text"))
-    own = digested(docs, "text")
-    x = with_next(own.drop("text_form"), ["text", "text_fp"], min(256, max(4, partitions(spark))))
+def edits(own: DataFrame, ranges: int) -> DataFrame:
+    """doc_id, n_chars, text_fp, next_fp, edited (with its form and digest) and unedited, of documents with text and text_fp."""
+    x = with_next(own.select("doc_id", "text", "text_fp"), ["text", "text_fp"], ranges)
     x = x.withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    x = digested(x.select("doc_id", "n_chars", "text_fp", F.col("next_text_fp").alias("next_fp"), edited.alias("edited"), (edited == F.col("text")).alias("unedited")), "edited")
-    light = ["doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text_fp", "edited_fp", "next_fp", "unedited"]
-    d = written(x.select(*light), "fp-digests")
+    return digested(x.select("doc_id", "n_chars", "text_fp", F.col("next_text_fp").alias("next_fp"), edited.alias("edited"), (edited == F.col("text")).alias("unedited")), "edited")
+
+
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", text_of().alias("text"))
+    return compared(docs, min(256, max(4, partitions(spark))))
+
+
+def compared(docs: DataFrame, ranges: int) -> DataFrame:
+    """Fingerprints of docs (doc_id, text), of their edited texts, and their likeness."""
+    own = digested(docs, "text")
+    x = edits(own, ranges)
+    light = ["doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text_fp", "edited_fp", "next_fp"]
+    d = written(x.select(*light, "unedited"), "fp-digests")
     forms = [own.select(F.col("text_fp").alias("fp"), F.col("text_form").alias("form")), x.where(~F.col("unedited")).select(F.col("edited_fp").alias("fp"), F.col("edited_form").alias("form"))]
     digests = d.select(F.col("text_fp").alias("fp")).unionAll(d.where(~F.col("unedited")).select("edited_fp"))
     clash = written(clashes(digests, forms), "fp-clash")
-    if not clash.isEmpty():
-        d = settled(x, "edited", clash).select(*light)
-        own_fp = settled(own, "text", clash).select("doc_id", F.col("text_fp").alias("settled"))
-        following = with_next(own_fp.withColumn("text", F.col("settled")), ["settled"], min(256, max(4, partitions(spark))))
-        d = d.drop("text_fp", "next_fp").join(following.select("doc_id", F.col("settled").alias("text_fp"), F.col("next_settled").alias("next_fp")), "doc_id")
+    if not clash.isEmpty():  # the whole way again, with the digests told apart: rows need no key
+        d = settled(edits(settled(own, "text", clash), ranges), "edited", clash).select(*light)
     same = lambda a, b: (F.col(a) == F.col(b)).cast("double")
     return d.select(
         "doc_id", "n_chars", "edited_sha256", F.col("text_fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),
