@@ -36,10 +36,15 @@ def kept_by(text: Column, unwanted: str) -> Column:
     return F.length(F.regexp_replace(text, unwanted, "")).cast("long")
 
 
-def repeat_words(words: Column) -> Column:
-    """Words inside 3-word windows that the text holds twice or more. words must be a plain column."""
-    window = lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2])
+def windows(words: Column) -> Column:
+    """A hash for each 3-word window, in order. words must be a plain column."""
     at = F.sequence(F.lit(0), F.size(words) - 3)
+    return F.when(F.size(words) < 3, F.array().cast("array<bigint>")).otherwise(F.transform(at, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2])))
+
+
+def repeat_words(hashes: Column) -> Column:
+    """Words inside 3-word windows that the text holds twice or more. hashes: its windows, a plain column, so that most texts, which repeat
+    none, are told by generated code over a set of longs."""
 
     def covered(marks: Column) -> Column:
         # marks: (hash, position) in order; a window repeats if a neighbour has its hash
@@ -50,13 +55,8 @@ def repeat_words(words: Column) -> Column:
         step = lambda a, p: F.struct((p + 3).alias("end"), (a["n"] + (p + 3 - F.greatest(a["end"], p))).alias("n"))
         return F.aggregate(places, first, step, lambda a: a["n"])
 
-    def counted(hashes: Column) -> Column:
-        def full(_: Column) -> Column:
-            return let(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), covered)
-
-        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("bigint")).otherwise(full(hashes))
-
-    return F.when(F.size(words) < 3, F.lit(0).cast("bigint")).otherwise(let(F.transform(at, window), counted))
+    marks = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("bigint")).otherwise(let(marks, covered))
 
 
 def dup_lines(text: Column) -> Column:
@@ -70,15 +70,20 @@ def measured(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     """docs with __t, __w (words), __g (language), the base columns and __classes (counts in the order of CLASSES)."""
     x = docs.withColumn("__t", F.coalesce(F.col(text), F.lit(""))).withColumn("__g", F.coalesce(F.col(lang), F.lit("")))
     x = x.withColumn("__w", F.regexp_extract_all("__t", F.lit(WORD), F.lit(0)))
-    t, w = F.col("__t"), F.col("__w")
+    t, w, rest, bare = F.col("__t"), F.col("__w"), F.col("__rest"), F.col("__bare")
+    # Lower-case letters, then white space, leave each text once; all other classes are counted in the little that remains.
+    x = x.withColumn("__windows", windows(w)).withColumn("__rest", F.regexp_replace(t, r"\p{Ll}+", ""))
+    x = x.withColumn("__bare", F.regexp_replace(rest, r"[\x20\x09-\x0D]+", ""))
     x = x.withColumns({
-        "n_words": F.size(w).cast("long"), "word_chars": kept_by(t, r"[\x20\x09-\x0D]+"), "n_symbols": kept_by(t, r"[^#*$%&|<>]+"),
-        "n_dup_lines": dup_lines(t), "n_repeat_words": repeat_words(w),
-        "__u": kept_by(t, r"\P{Lu}+"), "__l": kept_by(t, r"\P{Ll}+"), "__d": kept_by(t, "[^0-9]+"), "__m": kept_by(t, r"[^.,;:!?'\"()-]+"), "__n": F.length(t).cast("long"),
+        "n_words": F.size(w).cast("long"), "word_chars": (F.length(t) - F.length(rest) + F.length(bare)).cast("long"), "n_symbols": kept_by(bare, r"[^#*$%&|<>]+"),
+        "n_dup_lines": dup_lines(t), "n_repeat_words": repeat_words(F.col("__windows")),
+        "__u": kept_by(bare, r"\P{Lu}+"), "__l": (F.length(t) - F.length(rest)).cast("long"), "__d": kept_by(bare, "[^0-9]+"),
+        "__m": kept_by(bare, r"[^.,;:!?'\"()-]+"), "__n": F.length(t).cast("long"),
     })
     space = F.col("__n") - F.col("word_chars")
     other = F.col("word_chars") - F.col("__u") - F.col("__l") - F.col("__d") - F.col("__m") - F.col("n_symbols")
-    return x.withColumn("__classes", F.array("__u", "__l", "__d", "n_symbols", "__m", space, other)).drop("__u", "__l", "__d", "__m", "__n")
+    gone = ("__u", "__l", "__d", "__m", "__n", "__windows", "__rest", "__bare")
+    return x.withColumn("__classes", F.array("__u", "__l", "__d", "n_symbols", "__m", space, other)).drop(*gone)
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -103,8 +108,11 @@ def jsd(p: Column, q: Column) -> Column:
 
 def common_hits() -> Column:
     """How often the document has each common word of its language."""
-    places = F.filter(F.transform("__w", lambda v: F.array_position(F.col("__common"), F.lower(v))), lambda i: i > 0)
-    hits = let(places, lambda found: F.transform("__common", lambda _, i: F.size(F.filter(found, lambda h: h == i + 1)).cast("long")))
+    # Lower case is never shorter, so longer words than the longest common one needn't be looked up.
+    widest = F.array_max(F.transform("__common", lambda c: F.length(c)))
+    short = let(widest, lambda most: F.filter("__w", lambda v: F.length(v) <= most))
+    places = F.filter(F.transform(short, lambda v: F.array_position(F.col("__common"), F.lower(v))), lambda i: i > 0)
+    hits = let(places, lambda found: F.transform("__common", lambda _, i: (F.size(found) - F.size(F.array_remove(found, (i + 1).cast("long")))).cast("long")))
     return F.when(F.col("__common").isNull(), F.array().cast("array<bigint>")).otherwise(hits)
 
 
