@@ -148,6 +148,21 @@ def test_pii_of_many_spans_and_clashing_names(spark):
     assert pii.annotate(x).columns == ["doc_id", "text", "__row", "__spans", "__base", "__spans_"]
 
 
+def test_pii_reads_whole_texts_few_times(spark):
+    """Patterns cost most of the time; what later passes need is stored."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    texts = pii_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("doc_id", F.udf(counted, "string").asNondeterministic()("text").alias("text"))
+    clean = pii.sanitise(docs).collect()
+    assert len(clean) == len(texts) and sum("[TERM]" in (r["text"] or "") for r in clean) >= 8
+    assert read.value <= 2 * len(texts)
+
+
 def test_pii_query(spark):
     texts = dict(plain(real(spark)))
     for r in pii.op1_pii(spark, SF).collect():

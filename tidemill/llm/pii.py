@@ -16,13 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import bounded, count_kind, documents, free, let, rendered, running, spans, written
+from tidemill.llm.common import bounded, count_kind, discard, documents, free, let, rendered, running, spans, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each is the contract's pattern, anchored where a run begins (or the last match ended) and possessive, so that Java needs linear
 #: time and no recursion. Matching is the same: a match that begins inside a run also begins at the run's start.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
+IP = r"(?=[0-9])(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: Runs of under 12 digits fail in any case, so they needn't be matched; runs don't touch each other.
 CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
@@ -127,44 +127,51 @@ def contexts(found: DataFrame) -> DataFrame:
     return x.select("__row", F.col("entities").alias("__entities"), F.xxhash64("left", "right").alias("__context"), F.concat(left, right).alias("__terms"))
 
 
-def disclosing(found: DataFrame, near: DataFrame) -> DataFrame:
-    """(__entity, __term, given, least) of the pairs over the thresholds. found has __row, __text and __base, near comes from contexts()."""
-    # Rows of one text weigh 1 together, so sums of weights are numbers of different texts' places.
-    copies = written(found.groupBy("__row").agg(F.count("*").alias("__n")).where("__n > 1"), "pii-copies")
-    weighed = found.join(bounded(copies), "__row", "left").withColumn("__weight", 1 / F.coalesce("__n", F.lit(1)))
+def _scored(found: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What disclosing() returns, and (__row, __term, __n) of all places of some terms, those that disclose among them: __n counts each copy of a text."""
+    # Rows of one text count once: their terms here, and copies by division below.
     outside_base = F.regexp_count(masked(F.col("__text"), F.col("__base")), F.lit(TERM))
-    n_all = F.round(F.sum(F.col("__weight") * outside_base)).alias("n_all")
+    texts = written(found.select("__row", outside_base.alias("n")).groupBy("__row").agg(F.count("*").alias("__copies"), F.max("n").alias("n")), "pii-texts")
     close = near.select("__row", "__entities", "__context", F.explode("__terms").alias("__t"))
     close = close.select("__row", F.explode("__entities").alias("__entity"), "__context", F.col("__t.start").alias("__at"), F.col("__t.value").alias("__term"))
     support = close.select("__entity", "__context", "__term").distinct().groupBy("__entity", "__term").agg(F.count("*").alias("n_contexts")).where(F.col("n_contexts") >= SUPPORT)
     sites = written(close.select("__row", "__at", "__entity", "__term").distinct(), "pii-places")
     pairs = sites.groupBy("__entity", "__term").agg(F.count("*").alias("n_pair")).join(support, ["__entity", "__term"], "left_semi")
-    known = sites.groupBy("__entity").agg(F.count("*").alias("n_entity")).crossJoin(F.broadcast(weighed.agg(n_all)))  # one row
+    known = sites.groupBy("__entity").agg(F.count("*").alias("n_entity")).crossJoin(F.broadcast(texts.agg(F.sum("n").alias("n_all"))))  # one row
     known = written(known.select("__entity", F.pow(F.col("n_entity") / F.col("n_all"), 1 - DISCLOSURE).alias("least")), "pii-entities")
-    # A term's places near any entity are some of its places; pairs that fail by these alone need no corpus count.
-    some = sites.select("__row", "__at", "__term").distinct().groupBy("__term").agg(F.count("*").alias("n_near"))
-    pairs = pairs.join(known, "__entity").join(some, "__term").where(F.col("n_pair") >= F.col("least") * F.col("n_near")).drop("n_near")
-    pairs = written(pairs, "pii-pairs")
-    sought = bounded(pairs.select("__term").distinct())
-    everywhere = weighed.select("__weight", F.explode(terms(F.col("__text"), F.col("__base"))).alias("__term")).join(sought, "__term", "left_semi")
-    counts = everywhere.groupBy("__term").agg(F.round(F.sum("__weight")).alias("n_term"))
+    # A term's places near any entity, and those in texts that have entities, are some of its places; pairs that fail by these alone need no corpus count.
+    some = sites.select("__row", "__at", "__term").distinct().groupBy("__term").agg(F.count("*").alias("n_some"))
+    pairs = written(pairs.join(known, "__entity").join(some, "__term").where(F.col("n_pair") / F.col("n_some") >= F.col("least")).drop("n_some"), "pii-pairs")
+    words = lambda x: x.select("__row", F.explode(terms(F.col("__text"), F.col("__base"))).alias("__term"))
+    sought = lambda x: bounded(x.select("__term").distinct())
+    holders = found.where(F.size("__base") > 0).dropDuplicates(["__row"])
+    some = words(holders).join(sought(pairs), "__term", "left_semi").groupBy("__term").agg(F.count("*").alias("n_some"))
+    pairs = written(pairs.join(some, "__term").where(F.col("n_pair") / F.col("n_some") >= F.col("least")).drop("n_some"), "pii-rarer")
+    places = written(words(found).join(sought(pairs), "__term", "left_semi").groupBy("__row", "__term").agg(F.count("*").alias("__n")), "pii-terms")
+    counts = places.join(texts.where("__copies > 1"), "__row", "left").groupBy("__term").agg(F.sum(F.expr("__n div coalesce(__copies, 1)")).alias("n_term"))
     scored = pairs.join(counts, "__term").withColumn("given", F.col("n_pair") / F.col("n_term"))
-    return scored.where("given >= least").select("__entity", "__term", "given", "least")
+    return scored.where("given >= least").select("__entity", "__term", "given", "least"), places
+
+
+def disclosing(found: DataFrame, near: DataFrame) -> DataFrame:
+    """(__entity, __term, given, least) of the pairs over the thresholds. found has __row, __text and __base, near comes from contexts()."""
+    return _scored(found, near)[0]
 
 
 def _annotated(docs: DataFrame, text: str) -> DataFrame:
     """own (all columns), __text, __base and __spans (base spans and disclosing terms, by start)."""
     found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     found = found.withColumns({"__base": base_spans(F.col("__text")), "__row": F.sha2("__text", 256)})
-    light = found.select("__row", "__text", "__base")
+    light = written(found.select("__row", "__text", "__base"), "pii-light")
     # What has no entity needs no context, and what has none of the same text twice needs only one context row.
     near = written(contexts(light.where(F.size("__base") > 0)).distinct(), "pii-contexts")
-    pairs = written(disclosing(light, near), "pii-disclosing")
+    pairs, places = _scored(light, near)
+    pairs = written(pairs, "pii-disclosing")
     # The texts that have such terms, anywhere, and which.
-    sought = bounded(pairs.select("__term").distinct())
-    hits = light.select("__row", F.explode(F.array_distinct(terms(F.col("__text"), F.col("__base")))).alias("__term")).join(sought, "__term", "left_semi")
+    hits = places.join(bounded(pairs.select("__term").distinct()), "__term", "left_semi")
     hits = written(hits.groupBy("__row").agg(F.collect_set("__term").alias("__hits")), "pii-hits")
-    out = found.join(bounded(hits), "__row", "left")
+    discard(light)
+    out = found.join(bounded(hits, 64_000_000), "__row", "left")
     out = out.withColumn("__masked", F.when(F.col("__hits").isNotNull(), masked(F.col("__text"), F.col("__base"))))
     shown = F.filter(spans(F.col("__masked"), TERM, "term", 4), lambda s: F.array_contains("__hits", F.lower(s["value"])))
     more = F.transform(shown, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), F.lower(s["value"]).alias("value")))
