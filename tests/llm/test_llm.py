@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -291,6 +292,56 @@ def test_jaccard_of_a_frequent_passage_and_many_near_copies(spark):
     assert got == {(i, *v) for i, v in components_by_force(rows).items()}
 
 
+def chained_rows():
+    """Texts of two passages each, one with the next passage: every passage is in a dozen texts, and all texts hang together by passages. Some link."""
+    rng = np.random.default_rng(7)
+    passages = [[f"p{i}x{j}" for j in range(30)] for i in range(20)]
+    rows = []
+    for i in range(120):
+        own = [f"d{i}x{j}" for j in range(int(rng.integers(20, 60)))]
+        rows.append((len(rows), " ".join(passages[i % 20] + own + passages[(i + 1) % 20])))
+        if i % 10 == 0:
+            own[5] = "changed"
+            rows.append((len(rows), " ".join(passages[i % 20] + own + passages[(i + 1) % 20])))
+    return rows
+
+
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 5])
+def test_jaccard_of_chained_passages(spark, monkeypatch, block):
+    """Buckets meet one by one, not all documents that a chain of buckets connects."""
+    met, grid = [], jaccard._grid
+    monkeypatch.setattr(jaccard, "_grid", lambda members, facts: (met.append(members.count()), grid(members, facts))[1])
+    monkeypatch.setattr(jaccard, "OFTEN_HERE", 1000)  # no shingle is told apart as frequent
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    rows = chained_rows()
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.joined(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    want = {(i, *v) for i, v in components_by_force(rows).items()}
+    assert got == want and len({c for _, _, c in want}) < len(rows) and met == [0]
+
+
+def test_jaccard_pairs_of_buckets():
+    """What a bucket's members make, over batches and blocks of any size, is what all pairs make."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for b in range(8):
+        base = rng.integers(0, 2**63, 900).astype(np.uint64)
+        for _ in range(int(rng.integers(1, 40))):
+            s = base[: int(rng.integers(30, 900))]
+            rows.append((b, 0, 0, 0, len(rows) % 60, int(rng.integers(0, 9)), len(s), jaccard.sketch(s).tobytes()))
+    rows.sort(key=lambda r: (r[0], r[6]))
+    want = set()
+    for p in rows:
+        for q in rows:
+            if p[0] == q[0] and p[4] < q[4] and p[5] != q[5] and 4 * min(p[6], q[6]) >= 3 * max(p[6], q[6]):
+                if jaccard.distances(np.frombuffer(p[7], np.uint64), np.frombuffer(q[7], np.uint64)) * 7 <= p[6] + q[6]:
+                    want.add((p[4], q[4]))
+    x = pd.DataFrame(rows, columns=["b", "x", "y", "chunk", "k", "c", "n", "sketch"])
+    for size in (7, 50, 1000):
+        got = pd.concat(list(jaccard._met(x.iloc[at : at + size] for at in range(0, len(x), size))))
+        assert set(got.itertuples(index=False, name=None)) == want and want
+
+
 def test_pages(spark):
     html = [
         None, "", "bare &amp; text",

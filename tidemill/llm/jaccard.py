@@ -40,6 +40,7 @@ PLAIN, FEW, MANY = 0, 1, 2  # keys of shingles that aren't frequent; of frequent
 OFTEN_HERE = 3  # of a task's documents: what counts as frequent there
 OFTEN = 400_000  # frequent shingles that are told apart, the most frequent ones (6.4 MB with their ranks)
 BLOCK = 3000  # members that meet as many others in one task
+WORDS = 4_000_000  # of sketches that are compared at a time
 SALTS = 64  # parts of a frequent shingle's bucket
 SMALL = 8  # members of a bucket that meet by a join
 ROWS, BUCKETS = 150_000, 10_000  # members to a bucket of their tables (some 4 MB), and most buckets; beyond, buckets grow and sorts spill
@@ -287,6 +288,62 @@ def _grid(members: DataFrame, facts: DataFrame) -> DataFrame:
     return x.groupBy("component", "x", "y").applyInPandas(_block, "ka long, kb long")
 
 
+def _met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs of each bucket (or of two of its blocks) that the sketches allow. Rows come by bucket and block, then by n; a cell's rows fit in memory."""
+    rest = None
+    for b in batches:
+        b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+        cell = b[["b", "x", "y"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]).any(1)])
+        whole, rest = b.iloc[: starts[-1]], b.iloc[starts[-1] :]
+        if len(whole):
+            yield from _cells(whole, starts)
+    if rest is not None:
+        yield from _cells(rest, np.zeros(1, np.int64))
+
+
+def _cells(rows: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+    n, k, c, x, y, chunk = (rows[name].to_numpy(np.int64) for name in ("n", "k", "c", "x", "y", "chunk"))
+    cell = np.searchsorted(starts, np.arange(len(rows)), side="right") << 40
+    # Each row's partners are those after it in its cell, as far as their sizes allow a link.
+    first = np.arange(1, len(rows) + 1)
+    counts = np.searchsorted(cell + n, cell + 4 * n // 3, side="right") - first
+    width = rows["sketch"].str.len().to_numpy(np.int64) // 8
+    place, sketches = np.zeros(len(rows), np.int64), {}
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        place[at] = np.arange(len(at))
+        sketches[w] = np.frombuffer(b"".join(rows["sketch"].iloc[at]), np.uint64).reshape(len(at), w)
+    ends, lo = np.cumsum(counts), 0
+    while lo < len(rows):
+        done = ends[lo] - counts[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, done + WORDS // LEAST_SKETCH, side="right")))
+        i = np.repeat(np.arange(lo, hi), counts[lo:hi])
+        j = np.arange(done, ends[hi - 1]) - np.repeat(ends[lo:hi] - counts[lo:hi], counts[lo:hi]) + first[i]
+        lo = hi
+        keep = (c[i] != c[j]) & (k[i] != k[j]) & ((x[i] == y[i]) | (chunk[i] != chunk[j]))
+        i, j = i[keep], j[keep]
+        out = []
+        for wi, wj in {*zip(width[i].tolist(), width[j].tolist(), strict=True)}:
+            here = np.flatnonzero((width[i] == wi) & (width[j] == wj))
+            step = max(1, WORDS // max(wi, wj))
+            for part in (here[at : at + step] for at in range(0, len(here), step)):
+                a, b = i[part], j[part]
+                near = distances(sketches[wi][place[a]], sketches[wj][place[b]]) * 7 <= n[a] + n[b]
+                out.append(np.stack([k[a][near], k[b][near]], 1))
+        if out:
+            yield pd.DataFrame(np.unique(np.sort(np.concatenate(out), 1), axis=0), columns=["ka", "kb"])
+
+
+def _within(members: DataFrame, facts: DataFrame, parts: int) -> DataFrame:
+    """Pairs (ka, kb) of members (b, k, c, size) of one bucket, as far as sketches allow them. Rows are members with their sketches, as often as their
+    bucket has blocks of BLOCK: no pair is a row unless it may link, and a chain of buckets is no larger group."""
+    x = members.withColumn("chunks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("k"), F.col("chunks")).cast("int")).join(facts, "k")
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    x = x.select("b", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "k", "c", "n", "sketch")
+    return x.repartition(parts, "b", "x", "y").sortWithinPartitions("b", "x", "y", "n").mapInPandas(trimmed(_met), "ka long, kb long")
+
+
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs."""
     spark = docs.sparkSession
@@ -331,13 +388,16 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         discard(before)
         swept(spark)
     # Members of one bucket that are still in different components, and weren't compared yet, meet each other: those of small
-    # buckets by a join, of which each row makes SMALL at most, all others in a grid of blocks.
-    large = many.groupBy("b").agg(F.count("*").alias("size"), F.max("t").alias("kind")).where(f"size > {SMALL} or kind != {PLAIN}").select("b")
+    # buckets by a join, of which each row makes SMALL at most, those of larger ones in their bucket. Buckets of frequent shingles, whose members
+    # are few documents that share many of them, meet in a grid of blocks.
+    large = many.groupBy("b").agg(F.count("*").alias("size"), F.max("t").alias("kind")).where(f"size > {SMALL} or kind != {PLAIN}")
     large = written(large, "jaccard-large")
     rest = many.join(large, "b", "left_anti")
     side = lambda x: rest.select("b", F.col("k").alias(f"k{x}"), F.col("c").alias(f"c{x}"), F.col("n").alias(f"n{x}"))
     pairs = side("a").join(side("b"), "b").where("ka < kb and ca != cb").where(near_size("na", "nb")).select("ka", "kb").distinct()
-    pairs = pairs.unionAll(_grid(many.join(large, "b").select("b", "k", "t", "c"), facts)).distinct().join(tried, ["ka", "kb"], "left_anti")
+    pairs = pairs.unionAll(_within(many.join(large.where(f"kind = {PLAIN}"), "b").select("b", "k", "c", "size"), facts, parts))
+    hot = many.join(large.where(f"kind != {PLAIN}"), "b").select("b", "k", "t", "c")
+    pairs = pairs.unionAll(_grid(hot, facts)).distinct().join(tried, ["ka", "kb"], "left_anti")
     more = verified(pairs, nodes, facts)
     discard(many, large)
     linked = links.unionAll(more)
