@@ -399,6 +399,34 @@ def test_tree_matching():
         assert len(to) == matched_by_force(a, b) == len(set(to.values()))
 
 
+def test_tree_matching_of_wide_nodes():
+    """Nodes with any number of children are aligned by one rule, the optimal one."""
+    rng = np.random.default_rng(4)
+
+    def node(tag, children=()):
+        n = pages.Node(tag, False)
+        n.children = list(children)
+        for c in n.children:
+            c.parent = n
+        return n
+
+    def most(a, b):
+        if a.tag != b.tag:
+            return 0
+        w = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+        for i in reversed(range(len(a.children))):
+            for j in reversed(range(len(b.children))):
+                w[i][j] = max(w[i + 1][j], w[i][j + 1], w[i + 1][j + 1] + most(a.children[i], b.children[j]))
+        return 1 + w[0][0]
+
+    wide = lambda n: node("#", [node(str(rng.choice(["div", "p", "ul"])), [node(str(rng.choice(["p", "li"]))) for _ in range(int(rng.integers(0, 5)))]) for _ in range(n)])
+    for n, m in ((10, 15), (40, 45), (90, 60), (3, 400), (400, 3)):
+        a, b = wide(n), wide(m)
+        pages.numbered(a), pages.numbered(b)
+        to = pages.aligned(a, b)
+        assert len(to) == most(a, b) == len(set(to.values()))
+
+
 def test_pages_deep_wide_and_broken():
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     wide = "<ul>" + "".join(f"<li><p>item {i}</p></li>" for i in range(20_000)) + "</ul>"

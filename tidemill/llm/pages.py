@@ -13,8 +13,8 @@ Pages count once for each content, the texts that names allow in order: copies o
 of its text constant. Counts are made over all contents of a host, pre-aggregated, so a host with a third of all pages is no task's
 burden; only the reference page (one of the host's, by hash) and the region are sent to the host's pages.
 
-Matching is bounded, and drops no text: children of two nodes with over CELLS pairs, and all children once a page has used STEPS pairs,
-are aligned in order by their tags instead of optimally. Trees of any depth are walked with stacks of their own.
+Matching is optimal for pages of any size, by one rule: subtrees of equal shape are matched once, and wide nodes are aligned row by row with
+numpy, in memory of about the root of the pairs. Time grows with the pairs of children. Trees of any depth are walked with stacks of their own.
 
 Defined results: null or empty html gives an empty text; text outside any tag is a block; unclosed and stray tags are tolerated; a quote
 that is never closed is no quote; a null url is a host of its own; repeated rows are extracted alike; an empty table gives an empty
@@ -29,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ from tidemill.llm.common import bounded, free, written
 LEAST_PAGES = 4
 CONSTANT = 0.5
 REGION = 0.7  # of a host's varying text
-CELLS, STEPS = 900, 200_000
+FEW_CELLS = 400  # pairs of children that plain Python aligns faster than numpy; the alignment is the same
 #: Elements that never hold main text.
 DROPPED = {"nav", "header", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "svg", "button", "select", "head", "dialog", "menu", "object", "canvas"}
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "title"}
@@ -210,87 +211,122 @@ def numbered(root: Node) -> list[Node]:
 
 
 class Matching:
-    """Simple tree matching of two numbered trees: the largest number of node pairs of a top-down, order-keeping alignment."""
+    """Simple tree matching of two trees: the largest number of node pairs of a top-down, order-keeping alignment. What two subtrees match depends on
+    their shapes (tags and order) alone, so it is computed once for two shapes. Of best alignments, the one that matches the earliest is taken."""
 
     def __init__(self):
-        self.found: dict[tuple[int, int], tuple[int, list]] = {}
-        self.steps = 0
-
-    def children(self, a: Node, b: Node) -> tuple[list[tuple[Node, Node]], list[Node], list[Node]]:
-        """Of the children of a and b: pairs of equal leaves at the front, which match one to one in some best alignment; then the others."""
-        x, y, lead = a.children, b.children, 0
-        while lead < min(len(x), len(y)) and not x[lead].children and not y[lead].children and x[lead].tag == y[lead].tag:
-            lead += 1
-        return list(zip(x[:lead], y[:lead], strict=True)), x[lead:], y[lead:]
-
-    def size(self, a: Node, b: Node) -> int:
-        return self.found[a.number, b.number][0] if a.tag == b.tag else 0
-
-    def pair(self, root: Node, other: Node) -> None:
-        """Fills found for root and other and whatever their best alignment looks at."""
+        self.shapes: dict[tuple, int] = {}
+        self.nodes: list[int] = []  # of each shape, how many nodes it has
+        self.found: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def shaped(self, root: Node) -> dict[Node, int]:
+        """The shape of each node of a tree."""
+        order, out = [root], {}
+        for n in order:
+            order += n.children
+        for n in reversed(order):
+            key = (n.tag, *[out[c] for c in n.children])
+            if key not in self.shapes:
+                self.shapes[key] = len(self.shapes)
+                self.nodes.append(1 + sum(self.nodes[x] for x in key[1:]))
+            out[n] = self.shapes[key]
+        return out
+
+    def pair(self, root: Node, other: Node, mine: dict[Node, int], its: dict[Node, int]) -> None:
+        """Fills found for root and other and whatever their best alignment looks at, if their shapes differ."""
         todo = [(root, other, False)]
         while todo:
             a, b, ready = todo.pop()
-            if a.tag != b.tag or (a.number, b.number) in self.found:
+            key = mine[a], its[b]
+            if a.tag != b.tag or key[0] == key[1] or key in self.found:
                 continue
-            lead, x, y = self.children(a, b)
-            large = len(x) * len(y) > CELLS or self.steps > STEPS
-            pairs = in_order(x, y) if large else [(p, q) for p in x for q in y if p.tag == q.tag]
+            x, y, lead = a.children, b.children, 0
+            # In some best alignment, first children of equal shape match.
+            while lead < min(len(x), len(y)) and mine[x[lead]] == its[y[lead]]:
+                lead += 1
+            tags_x, tags_y = {mine[p]: p for p in x[lead:]}, {its[q]: q for q in y[lead:]}
             if not ready:
-                self.steps += len(pairs) + 1
                 todo.append((a, b, True))
-                todo += [(p, q, False) for p, q in (*lead, *pairs) if (p.number, q.number) not in self.found]
-            elif large:
-                self.found[a.number, b.number] = 1 + sum(self.size(p, q) for p, q in (*lead, *pairs)), [*lead, *pairs]
-            else:
-                n, best = self.best(x, y)
-                self.found[a.number, b.number] = 1 + len(lead) + n, [*lead, *best]
+                todo += [(p, q, False) for p in tags_x.values() for q in tags_y.values() if p.tag == q.tag]
+                continue
+            names = {**{s: p.tag for s, p in tags_x.items()}, **{s: q.tag for s, q in tags_y.items()}}
+            best = self.best([mine[p] for p in x[lead:]], [its[q] for q in y[lead:]], names)
+            pairs = [*((i, i) for i in range(lead)), *((lead + i, lead + j) for i, j in best)]
+            self.found[key] = 1 + sum(self.size(mine[x[i]], its[y[j]]) for i, j in pairs), pairs
+
+    def size(self, s: int, t: int) -> int:
+        """How many nodes match, of two shapes of one tag."""
+        return self.nodes[s] if s == t else self.found[s, t][0]
 
-    def best(self, x: list[Node], y: list[Node]) -> tuple[int, list]:
+    def best(self, x: list[int], y: list[int], names: dict[int, str]) -> list[tuple[int, int]]:
+        """The best alignment of two lists of shapes."""
         n, m = len(x), len(y)
-        w = [[0] * (m + 1) for _ in range(n + 1)]
-        for i in range(n - 1, -1, -1):
+        if not n or not m:
+            return []
+        classes = {t: j for j, t in enumerate(dict.fromkeys(y))}
+        of = np.array([classes[t] for t in y])
+        rows: dict[int, np.ndarray] = {}
+
+        def sizes(i: int) -> np.ndarray:
+            s = x[i]
+            if s not in rows:
+                rows[s] = np.array([self.size(s, t) if names[s] == names[t] else 0 for t in classes], np.int64)
+            return rows[s][of]
+
+        def above(i: int, below: np.ndarray) -> np.ndarray:
+            """Row i of the table, from row i + 1: what children from i and from j on match at most."""
+            out = np.zeros(m + 1, np.int64)
+            out[:m] = np.maximum.accumulate(np.maximum(below[:-1], below[1:] + sizes(i))[::-1])[::-1]
+            return out
+
+        def plain(i: int, below: list[int]) -> list[int]:
+            out, here = [0] * (m + 1), sizes(i).tolist()
             for j in range(m - 1, -1, -1):
-                w[i][j] = max(w[i + 1][j], w[i][j + 1], w[i + 1][j + 1] + self.size(x[i], y[j]))
-        pairs, i, j = [], 0, 0
+                out[j] = max(below[j], out[j + 1], below[j + 1] + here[j])
+            return out
+
+        few = n * m <= FEW_CELLS
+        step = plain if few else above
+        # Every block-th row is kept; the others are made again where the way leads through them.
+        block = max(1, int(n**0.5))
+        row, kept = [0] * (m + 1) if few else np.zeros(m + 1, np.int64), {}
+        kept[n] = row
+        for i in range(n - 1, -1, -1):
+            row = step(i, row)
+            if i % block == 0:
+                kept[i] = row
+        out, i, j = [], 0, 0
         while i < n and j < m:
-            here = self.size(x[i], y[j])
-            if here and w[i][j] == w[i + 1][j + 1] + here:
-                pairs.append((x[i], y[j]))
-                i, j = i + 1, j + 1
-            elif w[i][j] == w[i + 1][j]:
-                i += 1
-            else:
-                j += 1
-        return w[0][0], pairs
-
-
-def in_order(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
-    """Pairs of equal tags, each with the next free one in order: a coarse alignment in linear time."""
-    places: dict[str, list[int]] = {}
-    for j in range(len(y) - 1, -1, -1):
-        places.setdefault(y[j].tag, []).append(j)
-    out, free_from = [], 0
-    for p in x:
-        at = places.get(p.tag, [])
-        while at and at[-1] < free_from:
-            at.pop()
-        if at:
-            free_from = at.pop() + 1
-            out.append((p, y[free_from - 1]))
-    return out
+            end = min(n, i - i % block + block)
+            table = {end: kept[end]}
+            for r in range(end - 1, i - 1, -1):
+                table[r] = step(r, table[r + 1])
+            while i < end and j < m:
+                here = int(rows[x[i]][of[j]])
+                if here and table[i][j] == table[i + 1][j + 1] + here:
+                    out.append((i, j))
+                    i, j = i + 1, j + 1
+                elif table[i][j] == table[i + 1][j]:
+                    i += 1
+                else:
+                    j += 1
+        return out
 
 
 def aligned(root: Node, reference: Node) -> dict[int, int]:
     """For each of root's nodes that is matched, the number of the reference's node."""
     m = Matching()
-    m.pair(root, reference)
+    mine, its = m.shaped(root), m.shaped(reference)
+    m.pair(root, reference, mine, its)
     out, todo = {}, [(root, reference)]
     while todo:
         a, b = todo.pop()
         if a.tag == b.tag:
             out[a.number] = b.number
-            todo += m.found[a.number, b.number][1]
+            if mine[a] == its[b]:
+                todo += zip(a.children, b.children, strict=True)
+            else:
+                todo += [(a.children[i], b.children[j]) for i, j in m.found[mine[a], its[b]][1]]
     return out
 
 
