@@ -311,7 +311,7 @@ def test_jaccard_of_chained_passages(spark, monkeypatch, block):
     """Buckets meet one by one, not all documents that a chain of buckets connects."""
     met, grid = [], jaccard._grid
     monkeypatch.setattr(jaccard, "_grid", lambda members, facts: (met.append(members.count()), grid(members, facts))[1])
-    monkeypatch.setattr(jaccard, "OFTEN_HERE", 1000)  # no shingle is told apart as frequent
+    monkeypatch.setattr(jaccard, "OFTEN", 0)  # no shingle is told apart as frequent
     monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "ROUNDS", 1)
     rows = chained_rows()
