@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -320,6 +321,29 @@ def test_jaccard_of_chained_passages(spark, monkeypatch, block):
     assert got == want and len({c for _, _, c in want}) < len(rows) and met == [0]
 
 
+def test_frequent_shingles_are_counted_in_little_memory():
+    """What a task counts is what counting all its shingles at once finds, and takes a few times the memory of the distinct ones at most."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**9, 1500))) for _ in range(600)]
+    texts += [" ".join([*t.split()[:700], *u.split()[:20]]) for t, u in zip(texts[:90], texts[90:], strict=False) for _ in range(3)]
+    packed = [jaccard.packed(shingles.canonical(t)) for t in texts]
+    values, counts = np.unique(np.concatenate([shingles.shingles(jaccard.unpacked(p)) for p in packed]), return_counts=True)
+    assert len(values) > 4 * jaccard.TALLY
+    want = {(v, n) for v, n in zip(values.astype(np.int64).tolist(), counts.tolist(), strict=True) if n >= jaccard.OFTEN_HERE}
+    frames = [pd.DataFrame({"k": range(at, at + 10), "words": packed[at : at + 10]}) for at in range(0, len(packed), 10)]
+    got, nodes = [], 0
+    tracemalloc.start()
+    try:
+        for x in jaccard._described(iter(frames)):
+            nodes += int(x["k"].notna().sum())
+            got += x.loc[x["k"].isna(), ["t", "n"]].itertuples(index=False, name=None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(got) == want and len(got) == len(want) > 50_000 and nodes == len(packed)
+    assert peak < 7 * values.nbytes
+
+
 def test_jaccard_pairs_of_buckets():
     """What a bucket's members make, over batches and blocks of any size, is what all pairs make."""
     rng = np.random.default_rng(2)

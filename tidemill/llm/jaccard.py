@@ -38,6 +38,7 @@ RATIO = 4  # of a size band's ends
 SINGLE = 512  # bands from under this size have one shingle to a block
 PLAIN, FEW, MANY = 0, 1, 2  # keys of shingles that aren't frequent; of frequent ones, in sets with few or many others
 OFTEN_HERE = 3  # of a task's documents: what counts as frequent there
+TALLY = 200_000  # shingles that a task counts at a time
 OFTEN = 400_000  # frequent shingles that are told apart, the most frequent ones (6.4 MB with their ranks)
 BLOCK = 3000  # members that meet as many others in one task
 WORDS = 4_000_000  # of sketches that are compared at a time
@@ -140,17 +141,26 @@ def _addressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["doc_id", "k", "k2", "words"])
 
 
+def tallied(values: np.ndarray, counts: np.ndarray, new: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """values (sorted, distinct) and their counts, which are changed, with each item of new added. Takes little beyond the result: a sort of all
+    values, as np.unique would make, takes several times their memory."""
+    items = np.concatenate(new)
+    items.sort()
+    first = np.flatnonzero(np.diff(items, prepend=items[:1] + np.uint64(1)))
+    found, times = items[first], np.diff(first, append=len(items)).astype(counts.dtype)
+    at = np.searchsorted(values, found)
+    known = np.zeros(len(found), bool)
+    inside = at < len(values)
+    known[inside] = values[at[inside]] == found[inside]
+    counts[at[known]] += times[known]
+    return np.insert(values, at[~known], found[~known]), np.insert(counts, at[~known], times[~known])
+
+
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each node its size and sketch; then, as rows without k, the shingles of at least OFTEN_HERE of this task's nodes, with their
     number there. Counts are merged in rounds, so memory is bounded."""
-    values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-    def merged(values, counts, parts):
-        new = np.concatenate(parts)
-        v, at = np.unique(np.concatenate([values, new]), return_inverse=True)
-        return v, np.bincount(at, np.concatenate([counts, np.ones(len(new), np.int64)]), len(v)).astype(np.int64)
-
-    parts, size = [values], 0
+    values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    parts, waiting, size = [values], 0, 0
     for b in batches:
         sizes, sketches = [], []
         for words in b["words"]:
@@ -158,16 +168,21 @@ def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sizes.append(len(s))
             sketches.append(sketch(s).tobytes())
             parts.append(s)
-            size += len(s)
+            waiting, size = waiting + len(s), size + len(s)
+            if waiting > TALLY or size > 1_000_000:
+                values, counts = tallied(values, counts, parts)
+                parts, waiting = [values[:0]], 0
             if size > 1_000_000:
-                values, counts = merged(values, counts, parts)
-                parts, size = [values[:0]], 0
+                size = 0
                 if len(values) > 2_000_000:
                     values, counts = values[counts > 1], counts[counts > 1]
         yield pd.DataFrame({"k": b["k"], "n": sizes, "t": 0, "sketch": sketches})
-    values, counts = merged(values, counts, parts)
+    values, counts = tallied(values, counts, parts)
     keep = counts >= OFTEN_HERE
-    yield pd.DataFrame({"k": pd.array([None] * int(keep.sum()), "Int64"), "n": counts[keep], "t": values[keep].astype(np.int64), "sketch": None})
+    values, counts = values[keep].astype(np.int64), counts[keep].astype(np.int64)
+    for lo in range(0, max(1, len(values)), TALLY):
+        part = slice(lo, lo + TALLY)
+        yield pd.DataFrame({"k": pd.array([None] * len(values[part]), "Int64"), "n": counts[part], "t": values[part], "sketch": None})
 
 
 def _keys(often):

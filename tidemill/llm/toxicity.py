@@ -168,6 +168,7 @@ def margins(terms: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
 def svm(x: np.ndarray, y: np.ndarray, cost: float = 300.0, steps: int = 800) -> tuple[np.ndarray, float]:
     """A linear SVM (squared hinge) by accelerated gradient steps; classes weigh the same."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
+    del x  # a task's largest array
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * cost
     step = 1 / (1e-3 + 2 * np.linalg.norm(x1 * np.sqrt(weight)[:, None], 2) ** 2)
     w = z = np.zeros(x1.shape[1])
@@ -240,6 +241,15 @@ def inserted(term: str) -> list[str]:
     return out
 
 
+def separated(marks: list[str], insults: list[str], others: list[str]) -> tuple[np.ndarray, float]:
+    """Weights of subsequences and bias of the SVM that tells insults from others by the landmarks' Nyström features."""
+    space = Space(marks)
+    values, vectors = np.linalg.eigh((space.rows @ space.columns).astype(float))
+    root = vectors / np.sqrt(np.maximum(values, 1e-6))  # kernel values @ root = Nyström features
+    w, bias = svm(space.kernel(insults + others) @ root, np.array([1.0] * len(insults) + [-1.0] * len(others)))
+    return space.weights(root @ w), bias
+
+
 def train(bags: Iterable[list[str]], labels: list[int]) -> dict:
     """A model of texts' bags: weights of subsequences, bias, and the logistic that turns a text's summary into a score."""
     y = np.array(labels, dtype=float)
@@ -270,11 +280,8 @@ def train(bags: Iterable[list[str]], labels: list[int]) -> dict:
         others = [t for t in dict.fromkeys(hard + negative) if t not in insults]
         marks = positive[: LANDMARKS // 2]
         marks = marks + others[: LANDMARKS - len(marks)]
-        space = Space(marks)
-        values, vectors = np.linalg.eigh((space.rows @ space.columns).astype(float))
-        root = vectors / np.sqrt(np.maximum(values, 1e-6))  # kernel values @ root = Nyström features
-        w, bias = svm(space.kernel(positive + more + others) @ root, np.array([1.0] * (len(positive) + len(more)) + [-1.0] * len(others)))
-        weights = space.weights(root @ w)
+        weights, bias = separated(marks, positive + more, others)
+        trim()  # each round's arrays are larger than the last round's and don't fit in their place
         m = margins(vocabulary, weights, bias)
         # Each toxic text's highest terms are witnesses too, if clean texts hardly have them (the highest one in any case, the others if they
         # aren't far from insulting), so that other forms of an insult are learnt; clean texts' highest terms are the hardest others.
